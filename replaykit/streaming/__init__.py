@@ -1,0 +1,4 @@
+"""Deliberately empty: the capability set is batch only, late rows are a batch fact.
+
+See ``operators.slicing.review_arrival_lag`` for late arrivals.
+"""

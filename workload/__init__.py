@@ -1,6 +1,6 @@
 """Bindings of the library's operators to the supplied tables, each with its SQL twin."""
 
 from .catalog import ORACLES, QUERIES
-from . import ledger_queries, evidence_queries  # noqa: F401
+from . import delivery_queries, evidence_queries, ledger_queries  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -455,7 +455,7 @@ def plan_summary(spark, sf):
 
 
 def supplied_artifacts(spark, sf):
-    """Intact artifacts of every pair: some doubled, some of another date, many not asked for."""
+    """Intact artifacts with planted faults: some forgotten, doubled, misdated or not asked for."""
     k = F.substring("provenance_id", 3, 10).cast("bigint")
     return intact_artifacts(spark, sf).filter(k % 10 != 4).select(
         "delivery_date",

@@ -51,13 +51,14 @@ def checksums(spark: SparkSession, root: str, in_memory_bytes: int = IN_MEMORY_B
     return small.unionByName(hashed)
 
 
-def landing_manifest(spark: SparkSession, root: str, files: DataFrame | None = None) -> DataFrame:
+def landing_manifest(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
     """Landing path, checksum and size of every delivered file.
 
     ``files`` carries ``path``, ``source_object``, ``source_file_name`` and
     ``ingestion_date``.
     """
-    named = with_registry(files).select(
+    keys = files.select("path", "source_object", "source_file_name", "ingestion_date")
+    named = with_registry(keys).select(
         "path",
         "source_object",
         "source_system",

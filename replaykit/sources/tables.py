@@ -57,15 +57,19 @@ def create_ledger(spark: SparkSession, database: str, ledger: str) -> str:
 
 
 def create_raw_table(spark: SparkSession, database: str, source_object: str) -> str:
-    """Create a source-shaped all-text table; daily sources get a date partition."""
+    """Create a source-shaped all-text table; daily sources get a date partition.
+
+    Overwriting by partition is a property of the daily tables, so no session
+    setting has to change around a write (``insertInto`` ignores write options).
+    """
     table = f"{database}.{source_object}"
     columns = ", ".join(f"`{name}` string" for name in columns_of(source_object))
     if SOURCES[source_object][1] == MASTER:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet")
     else:
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {PARTITION} date) "
-            f"USING parquet PARTITIONED BY ({PARTITION})"
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {PARTITION} date) USING parquet "
+            f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({PARTITION})"
         )
     return table
 
@@ -125,7 +129,7 @@ def replace_partitions(rows: DataFrame, database: str, source_object: str, days:
     clear_partitions(spark, table, [row[0] for row in empty.collect()])
     kept = rows.join(wanted, PARTITION, "left_semi").select(*columns_of(source_object), PARTITION)
     ordered = kept.hint("rebalance", PARTITION).sortWithinPartitions(PARTITION)
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    ordered.write.mode("overwrite").insertInto(table)
     return table
 
 

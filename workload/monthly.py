@@ -1,0 +1,177 @@
+"""The eight raw sources in full shape, delivered by month, for files and table writes.
+
+The delivery date of a row is the first day of its month, which keeps the number
+of folders reasonable on one machine; nothing in the library depends on it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from replaykit.operators.slicing import slice_by_parent
+from replaykit.sources.registry import columns_of
+
+from . import bindings as b
+from .delivery_queries import money, raw_items
+from .sqltext import cte
+
+
+def _filled(df: DataFrame, source: str, *extra: str) -> DataFrame:
+    """All registry columns, those without a counterpart empty."""
+    have = set(df.columns)
+    columns = [F.col(c) if c in have else F.lit("").alias(c) for c in columns_of(source)]
+    return df.select(*columns, *extra)
+
+
+def month_orders(spark: SparkSession, sf: str) -> DataFrame:
+    orders = b.table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.col("o_orderstatus").alias("order_status"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_purchase_timestamp"),
+        F.date_format(F.date_add("o_orderdate", 30), "yyyy-MM-dd").alias("order_estimated_delivery_date"),
+        F.trunc("o_orderdate", "month").alias("delivery_date"),
+    )
+    return _filled(orders, "orders", "delivery_date")
+
+
+def month_items(spark: SparkSession, sf: str) -> DataFrame:
+    items = slice_by_parent(raw_items(spark, sf), month_orders(spark, sf))
+    return _filled(items, "order_items", "delivery_date")
+
+
+def month_payments(spark: SparkSession, sf: str) -> DataFrame:
+    payments = b.table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.lit("1").alias("payment_sequential"),
+        F.col("o_orderpriority").alias("payment_type"),
+        F.lit("1").alias("payment_installments"),
+        money("o_totalprice").alias("payment_value"),
+    )
+    return _filled(slice_by_parent(payments, month_orders(spark, sf)), "payments", "delivery_date")
+
+
+def month_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    """A review per order up to 39 days later, its comment over two lines for every ninth."""
+    k = F.col("o_orderkey")
+    created = F.date_add("o_orderdate", (k % 40).cast("int"))
+    reviews = b.table(spark, sf, "orders").select(
+        F.concat(F.lit("r"), k.cast("string")).alias("review_id"),
+        k.cast("string").alias("order_id"),
+        (k % 5 + 1).cast("string").alias("review_score"),
+        F.when(k % 9 == 0, 'fine, "really"\nfine').otherwise("").alias("review_comment_message"),
+        F.date_format(created, "yyyy-MM-dd").alias("review_creation_date"),
+        F.trunc(created, "month").alias("delivery_date"),
+    )
+    return _filled(reviews, "reviews", "delivery_date")
+
+
+def daily_rows(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return {
+        "orders": month_orders(spark, sf),
+        "order_items": month_items(spark, sf),
+        "payments": month_payments(spark, sf),
+        "reviews": month_reviews(spark, sf),
+    }
+
+
+def master_rows(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    customers = b.table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("customer_id"),
+        F.col("c_name").alias("customer_unique_id"),
+        F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("customer_zip_code_prefix"),
+        F.concat("c_mktsegment", F.lit(', "'), "c_name", F.lit('"')).alias("customer_city"),
+        F.col("c_nationkey").cast("string").alias("customer_state"),
+    )
+    products = b.table(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("product_id"),
+        F.col("p_type").alias("product_category_name"),
+        F.length("p_name").cast("string").alias("product_name_lenght"),
+        F.col("p_size").cast("string").alias("product_weight_g"),
+    )
+    sellers = b.table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("seller_id"),
+        F.lpad(F.col("s_nationkey").cast("string"), 5, "0").alias("seller_zip_code_prefix"),
+        F.col("s_name").alias("seller_city"),
+        F.col("s_nationkey").cast("string").alias("seller_state"),
+    )
+    # One observation per customer: many per prefix, as in the source.
+    places = b.table(spark, sf, "customer").join(
+        b.table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    ).select(
+        F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("geolocation_zip_code_prefix"),
+        (F.col("c_custkey") % 180 - 90).cast("string").alias("geolocation_lat"),
+        (F.col("c_custkey") % 360 - 180).cast("string").alias("geolocation_lng"),
+        F.col("n_name").alias("geolocation_city"),
+        F.col("n_regionkey").cast("string").alias("geolocation_state"),
+    )
+    return {
+        "customers": _filled(customers, "customers"),
+        "products": _filled(products, "products"),
+        "sellers": _filled(sellers, "sellers"),
+        "geolocations": _filled(places, "geolocations"),
+    }
+
+
+cte("month_orders", """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id, o_orderstatus AS order_status,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS order_purchase_timestamp, '' AS order_approved_at,
+       '' AS order_delivered_carrier_date, '' AS order_delivered_customer_date,
+       strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d') AS order_estimated_delivery_date,
+       CAST(date_trunc('month', o_orderdate) AS DATE) AS delivery_date, o_orderkey AS k
+FROM orders
+""")
+cte("month_items", """
+SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS order_item_id,
+       CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id, '' AS shipping_limit_date,
+       CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS VARCHAR) AS price, '' AS freight_value,
+       CAST(date_trunc('month', o_orderdate) AS DATE) AS delivery_date
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+""")
+cte("month_payments", """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, '1' AS payment_sequential, o_orderpriority AS payment_type,
+       '1' AS payment_installments, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS payment_value,
+       CAST(date_trunc('month', o_orderdate) AS DATE) AS delivery_date
+FROM orders
+""")
+cte("month_reviews", """
+SELECT 'r' || o_orderkey AS review_id, CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_orderkey % 5 + 1 AS VARCHAR) AS review_score,
+       '' AS review_comment_title, CASE WHEN o_orderkey % 9 = 0 THEN 'fine, "really"' || chr(10) || 'fine' ELSE '' END AS review_comment_message,
+       strftime(created, '%Y-%m-%d') AS review_creation_date, '' AS review_answer_timestamp,
+       CAST(date_trunc('month', created) AS DATE) AS delivery_date
+FROM (SELECT *, o_orderdate + to_days(CAST(o_orderkey % 40 AS INTEGER)) AS created FROM orders)
+""")
+cte("raw_customers", """
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_unique_id,
+       lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS customer_zip_code_prefix,
+       c_mktsegment || ', "' || c_name || '"' AS customer_city, CAST(c_nationkey AS VARCHAR) AS customer_state
+FROM customer
+""")
+cte("raw_products", """
+SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS product_category_name,
+       CAST(length(p_name) AS VARCHAR) AS product_name_lenght, '' AS product_description_lenght, '' AS product_photos_qty,
+       CAST(p_size AS VARCHAR) AS product_weight_g, '' AS product_length_cm, '' AS product_height_cm, '' AS product_width_cm
+FROM part
+""")
+cte("raw_sellers", """
+SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS seller_zip_code_prefix,
+       s_name AS seller_city, CAST(s_nationkey AS VARCHAR) AS seller_state
+FROM supplier
+""")
+cte("raw_geolocations", """
+SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS geolocation_zip_code_prefix,
+       CAST(c_custkey % 180 - 90 AS VARCHAR) AS geolocation_lat, CAST(c_custkey % 360 - 180 AS VARCHAR) AS geolocation_lng,
+       n_name AS geolocation_city, CAST(n_regionkey AS VARCHAR) AS geolocation_state
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+""")
+RAW_SQL = {
+    "orders": "month_orders",
+    "order_items": "month_items",
+    "payments": "month_payments",
+    "reviews": "month_reviews",
+    "customers": "raw_customers",
+    "products": "raw_products",
+    "sellers": "raw_sellers",
+    "geolocations": "raw_geolocations",
+}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import safe_error
 from ..operators import batches, provenance, recovery
 from ..operators.ledger import PAIR
+from ..session import written_table
 from ..sources.tables import create_ledger
 from .attempts import (
     Clock,
@@ -18,7 +19,6 @@ from .attempts import (
     append_loads,
     derived_id,
     load_sources,
-    materialize,
     utc_now,
 )
 from .replay import LANDING_FACTS
@@ -85,7 +85,7 @@ def apply_plan(
     )
     ingesting = action == "ingest_and_load"
     ingest_ok = F.coalesce(F.col("ingest_status") == "success", F.lit(False))
-    attempts = materialize(
+    attempts = written_table(
         joined.select(
             *PAIR,
             "action",

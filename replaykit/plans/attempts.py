@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..functions.paths import destination_id
 from ..functions.text import safe_error
 from ..operators.ledger import PAIR, explode_steps
-from ..session import shared_dir
 from ..sources.registry import DAILY_SOURCES, is_transactional
 from ..sources.tables import append_ledger, partition_counts, replace_partitions
 
@@ -43,14 +42,6 @@ class Stamps:
         return F.lit(now)
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a decision to the shared folder so that later appends cannot change it."""
-    spark = df.sparkSession
-    path = shared_dir(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def derived_id(run_id: str, kind: str) -> Column:
     """Stable id of a pair's record in a run; repeating the run's work repeats the id."""
     return F.sha2(

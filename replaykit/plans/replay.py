@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import batches, ledger
 from ..operators.ledger import PAIR
+from ..session import written_table
 from ..sources.registry import DAILY_SOURCES
 from ..sources.tables import create_ledger
 from .attempts import (
@@ -18,7 +19,6 @@ from .attempts import (
     append_loads,
     derived_id,
     load_sources,
-    materialize,
     utc_now,
 )
 
@@ -71,7 +71,7 @@ def replay_range(
     reached = attempted_days(days, deliveries, outcomes, spark.table(events))
     work = reached.filter("accepted").select("delivery_date")
     expected = F.col("source_object").isin(*DAILY_SOURCES)
-    attempts = materialize(
+    attempts = written_table(
         outcomes.filter(expected)
         .join(work, "delivery_date", "left_semi")
         .select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Spark defaults already cover AQE, coalescing and skew joins; these are the
 # settings whose default is wrong for ledgers or for very large joins.
@@ -36,3 +36,15 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="replaykit-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def written_table(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a result to the shared folder and read it back.
+
+    Used where a result is read several times or must not change under later
+    writes.  Unlike a cache it survives lost executors.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.headers import header_columns, missing_columns
 from ..functions.paths import file_name, has_csv_suffix
+from ..session import written_table
 from .registry import columns_of, with_registry
 
 # A line whose fields are all either free of quotes or quoted from end to end.
@@ -104,16 +105,18 @@ def header_lines(spark: SparkSession, root: str) -> DataFrame:
 
 
 def file_facts(spark: SparkSession, root: str) -> DataFrame:
-    """One row per listed file with everything the contracts need.
+    """One row per listed file with everything the contracts need, computed once.
 
-    Zero-byte files have no lines and hence null facts.
+    Every later check reads this small table instead of the files.  Zero-byte
+    files have no lines and hence null facts.
     """
-    return (
+    facts = (
         list_files(spark, root)
         .join(line_facts(spark, root), "path", "left")
         .join(header_lines(spark, root), "path", "left")
         .withColumn("header", header_columns(F.coalesce("header_line", F.lit(""))))
     )
+    return written_table(facts, "file-facts")
 
 
 def header_contract(files: DataFrame, required: str = "required_columns") -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import destination_id
@@ -118,18 +118,20 @@ def replace_partitions(rows: DataFrame, database: str, source_object: str, days:
     """Replace exactly the given days, in one write for all of them.
 
     ``rows`` carries ``delivery_date``; rows of other days are not written.
-    Dynamic overwrite leaves a day without rows as it was, so those days (a
-    list of dates, one per day at most) are emptied first.
+    Dynamic overwrite leaves a day without rows as it was, so the write
+    observes which days it filled and the others (a list of dates, one per day
+    at most) are emptied after it.  The rows are computed once.
     """
     spark = rows.sparkSession
     table = create_raw_table(spark, database, source_object)
     wanted = days.select(PARTITION).distinct()
-    filled = rows.select(PARTITION).distinct()
-    empty = wanted.join(filled, PARTITION, "left_anti")
-    clear_partitions(spark, table, [row[0] for row in empty.collect()])
     kept = rows.join(wanted, PARTITION, "left_semi").select(*columns_of(source_object), PARTITION)
-    ordered = kept.hint("rebalance", PARTITION).sortWithinPartitions(PARTITION)
+    seen = Observation()
+    observed = kept.observe(seen, F.collect_set(PARTITION).alias("days"))
+    ordered = observed.hint("rebalance", PARTITION).sortWithinPartitions(PARTITION)
     ordered.write.mode("overwrite").insertInto(table)
+    filled = set(seen.get.get("days") or ())
+    clear_partitions(spark, table, [row[0] for row in wanted.collect() if row[0] not in filled])
     return table
 
 

@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import is_blank, strip
+from .text import WHITESPACE_CLASS, is_blank
 
-# A four-digit year, month and day with or without a leading
-# zero, optionally followed by a time of day.  Calendar validity (30 February)
-# is left to the cast.
+# A four-digit year from 0001, month and day with or without a
+# leading zero, optionally followed by a time of day, all within white space.
+# Calendar validity (30 February) is left to the cast, which also reads no match
+# as null.
 _BUSINESS_DATE = (
-    r"^([0-9]{4}-(?:1[0-2]|0?[1-9])-(?:3[01]|[12][0-9]|0?[1-9]))"
-    r"(?:\s+(?:2[0-3]|[01]?[0-9]):[0-5]?[0-9]:[0-5]?[0-9])?$"
+    rf"^{WHITESPACE_CLASS}*((?!0000)[0-9]{{4}}-(?:1[0-2]|0?[1-9])-(?:3[01]|[12][0-9]|0?[1-9]))"
+    rf"(?:\s+(?:2[0-3]|[01]?[0-9]):[0-5]?[0-9]:[0-5]?[0-9])?{WHITESPACE_CLASS}*$"
 )
 
 
 def business_date(text: Column) -> Column:
     """Date of a timestamp text, or null when it is blank or malformed."""
-    prefix = F.regexp_extract(strip(text), _BUSINESS_DATE, 1)
-    return F.when((prefix != "") & ~prefix.startswith("0000"), prefix.try_cast("date"))
+    return F.regexp_extract(text, _BUSINESS_DATE, 1).try_cast("date")
 
 
 def business_date_issue(text: Column, parsed: Column) -> Column:

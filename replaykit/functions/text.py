@@ -12,17 +12,30 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# The same characters as a regular-expression class.
+WHITESPACE_CLASS = "[" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "]"
+
 MAX_ERROR_LENGTH = 512
 
 
+def _is_printable_ascii(code: Column) -> Column:
+    return code.between(33, 126)
+
+
 def strip(text: Column) -> Column:
-    """Trim every kind of white space, not only the ASCII blank."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Trim every kind of white space, not only the ASCII blank.
+
+    Text that starts and ends with a printable ASCII character, which is nearly
+    all of it, skips the slow trim over a character set.
+    """
+    bare = _is_printable_ascii(F.ascii(text)) & _is_printable_ascii(F.ascii(F.right(text, F.lit(1))))
+    return F.when(bare, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def is_blank(text: Column) -> Column:
     """True for null, empty and white-space-only text; never null."""
-    return F.coalesce(strip(text) == "", F.lit(True))
+    filled = _is_printable_ascii(F.ascii(F.ltrim(text)))
+    return F.when(filled, False).otherwise(F.coalesce(F.btrim(text, F.lit(WHITESPACE)) == "", F.lit(True)))
 
 
 def safe_segment(text: Column) -> Column:

@@ -30,17 +30,23 @@ def broken_rules(rules: Sequence[Rule]) -> Column:
     return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules]))
 
 
+def any_broken(rules: Sequence[Rule]) -> Column:
+    return reduce(lambda a, b: a | b, [F.coalesce(broken, F.lit(False)) for _, broken in rules])
+
+
 def violations(df: DataFrame, rules: Sequence[Rule], keep: Sequence[str]) -> DataFrame:
-    """Violating rows with ``broken_rules`` as comma-separated names."""
-    checked = df.select(*keep, F.array_join(broken_rules(rules), ",").alias("broken_rules"))
-    return checked.filter(F.col("broken_rules") != "")
+    """Violating rows with ``broken_rules`` as comma-separated names.
+
+    Names are put together only for the rows that break a rule.
+    """
+    names = F.array_join(broken_rules(rules), ",").alias("broken_rules")
+    return df.filter(any_broken(rules)).select(*keep, names)
 
 
 def enforce(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Same rows, but the job fails as soon as one row breaks a rule."""
-    bad = reduce(lambda a, b: a | b, [F.coalesce(broken, F.lit(False)) for _, broken in rules])
     message = F.concat(F.lit("broken rules: "), F.array_join(broken_rules(rules), ","))
-    return df.filter(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    return df.filter(F.when(any_broken(rules), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
 
 
 def blank(*columns: str) -> list[Rule]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import business_date, business_date_issue
+from ..functions.text import is_blank
 from ..sources.registry import DAILY_SOURCES
 
 # The text column that dates a source's own rows.
@@ -54,15 +55,13 @@ def slice_by_own_date(df: DataFrame, column: str, strict: bool = True) -> DataFr
     it; otherwise undated rows are left out (list them with
     ``bad_business_dates``).
     """
-    dated = df.withColumn("delivery_date", business_date(F.col(column)))
+    day = business_date(F.col(column))
     if not strict:
-        return dated.filter(F.col("delivery_date").isNotNull())
-    issue = business_date_issue(F.col(column), F.col("delivery_date"))
-    message = F.concat(issue, F.lit(f" {column}"))
-    return dated.withColumn(
-        "delivery_date",
-        F.when(issue.isNotNull(), F.raise_error(message).cast("date")).otherwise(F.col("delivery_date")),
-    )
+        return df.withColumn("delivery_date", day).filter(F.col("delivery_date").isNotNull())
+    # The parse appears once, so the usual row is parsed once.
+    issue = F.when(is_blank(F.col(column)), "missing").otherwise("malformed")
+    failure = F.raise_error(F.concat(issue, F.lit(f" {column}"))).cast("date")
+    return df.withColumn("delivery_date", F.coalesce(day, failure))
 
 
 def parent_days(orders_by_day: DataFrame, key: str = PARENT_KEY) -> DataFrame:

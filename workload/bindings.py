@@ -15,10 +15,19 @@ from .sqltext import cte, day_series
 DATASET = "db.raw"
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A supplied table with its zone-less timestamps read as UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    """A supplied table with its zone-less timestamps read as UTC; its schema is looked up once."""
+    path = f"{sf}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = _zoned(spark.read.parquet(path))
+    return _TABLES[key]
+
+
+def _zoned(df: DataFrame) -> DataFrame:
     zoned = [
         F.col(f.name).cast("timestamp").alias(f.name)
         if isinstance(f.dataType, T.TimestampNTZType)

@@ -17,7 +17,7 @@ from .delivery_queries import money, raw_items
 from .sqltext import cte
 
 
-def _filled(df: DataFrame, source: str, *extra: str) -> DataFrame:
+def filled(df: DataFrame, source: str, *extra: str) -> DataFrame:
     """All registry columns, those without a counterpart empty."""
     have = set(df.columns)
     columns = [F.col(c) if c in have else F.lit("").alias(c) for c in columns_of(source)]
@@ -33,12 +33,12 @@ def month_orders(spark: SparkSession, sf: str) -> DataFrame:
         F.date_format(F.date_add("o_orderdate", 30), "yyyy-MM-dd").alias("order_estimated_delivery_date"),
         F.trunc("o_orderdate", "month").alias("delivery_date"),
     )
-    return _filled(orders, "orders", "delivery_date")
+    return filled(orders, "orders", "delivery_date")
 
 
 def month_items(spark: SparkSession, sf: str) -> DataFrame:
     items = slice_by_parent(raw_items(spark, sf), month_orders(spark, sf))
-    return _filled(items, "order_items", "delivery_date")
+    return filled(items, "order_items", "delivery_date")
 
 
 def month_payments(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +49,7 @@ def month_payments(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("1").alias("payment_installments"),
         money("o_totalprice").alias("payment_value"),
     )
-    return _filled(slice_by_parent(payments, month_orders(spark, sf)), "payments", "delivery_date")
+    return filled(slice_by_parent(payments, month_orders(spark, sf)), "payments", "delivery_date")
 
 
 def month_reviews(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,7 +64,7 @@ def month_reviews(spark: SparkSession, sf: str) -> DataFrame:
         F.date_format(created, "yyyy-MM-dd").alias("review_creation_date"),
         F.trunc(created, "month").alias("delivery_date"),
     )
-    return _filled(reviews, "reviews", "delivery_date")
+    return filled(reviews, "reviews", "delivery_date")
 
 
 def daily_rows(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -76,7 +76,7 @@ def daily_rows(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     }
 
 
-def master_rows(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def raw_customers(spark: SparkSession, sf: str) -> DataFrame:
     customers = b.table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("customer_id"),
         F.col("c_name").alias("customer_unique_id"),
@@ -84,19 +84,31 @@ def master_rows(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         F.concat("c_mktsegment", F.lit(', "'), "c_name", F.lit('"')).alias("customer_city"),
         F.col("c_nationkey").cast("string").alias("customer_state"),
     )
+    return filled(customers, "customers")
+
+
+def raw_products(spark: SparkSession, sf: str) -> DataFrame:
     products = b.table(spark, sf, "part").select(
         F.col("p_partkey").cast("string").alias("product_id"),
         F.col("p_type").alias("product_category_name"),
         F.length("p_name").cast("string").alias("product_name_lenght"),
         F.col("p_size").cast("string").alias("product_weight_g"),
     )
+    return filled(products, "products")
+
+
+def raw_sellers(spark: SparkSession, sf: str) -> DataFrame:
     sellers = b.table(spark, sf, "supplier").select(
         F.col("s_suppkey").cast("string").alias("seller_id"),
         F.lpad(F.col("s_nationkey").cast("string"), 5, "0").alias("seller_zip_code_prefix"),
         F.col("s_name").alias("seller_city"),
         F.col("s_nationkey").cast("string").alias("seller_state"),
     )
-    # One observation per customer: many per prefix, as in the source.
+    return filled(sellers, "sellers")
+
+
+def raw_geolocations(spark: SparkSession, sf: str) -> DataFrame:
+    """One observation per customer: many per prefix, as in the source."""
     places = b.table(spark, sf, "customer").join(
         b.table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     ).select(
@@ -106,11 +118,15 @@ def master_rows(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         F.col("n_name").alias("geolocation_city"),
         F.col("n_regionkey").cast("string").alias("geolocation_state"),
     )
+    return filled(places, "geolocations")
+
+
+def master_rows(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {
-        "customers": _filled(customers, "customers"),
-        "products": _filled(products, "products"),
-        "sellers": _filled(sellers, "sellers"),
-        "geolocations": _filled(places, "geolocations"),
+        "customers": raw_customers(spark, sf),
+        "products": raw_products(spark, sf),
+        "sellers": raw_sellers(spark, sf),
+        "geolocations": raw_geolocations(spark, sf),
     }
 
 

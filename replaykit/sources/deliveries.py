@@ -43,11 +43,23 @@ def describe_paths(files: DataFrame) -> DataFrame:
     )
 
 
+def local_path(path: Column) -> Column:
+    """Local paths as file scans report them, with one slash; other schemes have one spelling."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Path and size of every file below a root; contents are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    listed = reader.load(root).select(
-        F.col("_metadata.file_path").alias("path"), F.col("length").alias("file_size_bytes")
+    """Path and size of every file below a root; contents are not read.
+
+    Scans leave out zero-byte files, so those come from the file index: the list
+    of names Spark keeps on the driver for any scan of the root.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    sized = files.select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("file_size_bytes"))
+    names = spark.createDataFrame([(path,) for path in files.inputFiles()], "path string")
+    names = names.select(local_path(F.col("path")).alias("path"))
+    listed = names.join(sized, "path", "left").withColumn(
+        "file_size_bytes", F.coalesce("file_size_bytes", F.lit(0).cast("bigint"))
     )
     return describe_paths(listed)
 
@@ -58,7 +70,8 @@ def file_checks(expected: DataFrame, listing: DataFrame) -> DataFrame:
     folders = listing.select(
         F.regexp_replace("path", "/[^/]*$", "").alias("path"), F.lit(True).alias("is_folder")
     ).distinct()
-    joined = expected.join(sizes, "path", "left").join(folders, "path", "left")
+    wanted = expected.withColumn("path", local_path(F.col("path")))
+    joined = wanted.join(sizes, "path", "left").join(folders, "path", "left")
     size = F.col("file_size_bytes")
     check = (
         F.when(F.coalesce("is_folder", F.lit(False)), "not_a_regular_file")

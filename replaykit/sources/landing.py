@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import landing_path
@@ -72,14 +72,21 @@ def landing_manifest(spark: SparkSession, root: str, files: DataFrame) -> DataFr
 
 
 def landing_conflicts(manifest: DataFrame, existing: DataFrame, order_by: str = "path") -> DataFrame:
-    """Flag rows whose landing path is taken, by an earlier landing or by a first row of this one."""
+    """Flag rows whose landing path is taken, by an earlier landing or by a first row of this one.
+
+    The first claimant of each path is an aggregate that combines before the
+    shuffle; no path's rows are gathered, however many claim it.  ``order_by``
+    must be unique per row.
+    """
     taken = existing.select("landing_path", F.lit(True).alias("taken")).distinct()
-    first = Window.partitionBy("landing_path").orderBy(order_by)
+    first = manifest.groupBy("landing_path").agg(F.min(order_by).alias("first_claim"))
+    claims = first.join(taken, "landing_path", "left").select(
+        "landing_path", "first_claim", F.coalesce("taken", F.lit(False)).alias("taken")
+    )
     return (
-        manifest.withColumn("_nth", F.row_number().over(first))
-        .join(taken, "landing_path", "left")
-        .withColumn("conflict", F.coalesce("taken", F.lit(False)) | (F.col("_nth") > 1))
-        .drop("taken", "_nth")
+        manifest.join(claims, "landing_path")
+        .withColumn("conflict", F.col("taken") | (F.col(order_by) != F.col("first_claim")))
+        .drop("taken", "first_claim")
     )
 
 

@@ -15,6 +15,7 @@ from replaykit.operators.checks import (
     violations,
 )
 from replaykit.operators.reconciliation import reconcile
+from replaykit.session import written_table
 
 from . import bindings as b
 from .catalog import query
@@ -583,7 +584,8 @@ LEFT JOIN (SELECT delivery_date, count(DISTINCT source_object) AS n_known, 0 AS
 USING (delivery_date)
 """, *RESULTS, "recovery_steps"))
 def recovery_outcome_summary(spark, sf):
-    results = plan_results(spark, sf)
+    # Read twice below, so the decided plan is written once.
+    results = written_table(plan_results(spark, sf), "plan-results")
     after = recovery.recovery_events(results, "recovery-1").select(
         "run_id",
         "event_id",

@@ -37,10 +37,12 @@ def any_broken(rules: Sequence[Rule]) -> Column:
 def violations(df: DataFrame, rules: Sequence[Rule], keep: Sequence[str]) -> DataFrame:
     """Violating rows with ``broken_rules`` as comma-separated names.
 
-    Names are put together only for the rows that break a rule.
+    The names pass through a one-element explode, below which no filter can be
+    pushed: otherwise every rule, with the expressions behind its columns, would
+    be copied into a filter and evaluated again.
     """
-    names = F.array_join(broken_rules(rules), ",").alias("broken_rules")
-    return df.filter(any_broken(rules)).select(*keep, names)
+    names = F.array(F.array_join(broken_rules(rules), ","))
+    return df.select(*keep, F.explode_outer(names).alias("broken_rules")).filter(F.col("broken_rules") != "")
 
 
 def enforce(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

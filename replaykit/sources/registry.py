@@ -100,10 +100,10 @@ def with_registry(df: DataFrame, strict: bool = True) -> DataFrame:
     joined = df.join(F.broadcast(registry(df.sparkSession)), "source_object", "left")
     if not strict:
         return joined
+    # A filter, unlike a computed column, stays when later steps drop columns.
     unsupported = F.concat(F.lit("unsupported source_object: "), F.col("source_object"))
-    return joined.withColumn(
-        "kind", F.when(F.col("kind").isNull(), F.raise_error(unsupported)).otherwise(F.col("kind"))
-    )
+    known = F.when(F.col("kind").isNull(), F.raise_error(unsupported).cast("boolean")).otherwise(F.lit(True))
+    return joined.filter(known)
 
 
 def expected_sources(spark: SparkSession, sources: tuple[str, ...] = DAILY_SOURCES) -> DataFrame:

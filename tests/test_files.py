@@ -193,4 +193,6 @@ def test_registry(spark):
     unknown = spark.createDataFrame([("nothing", dt.date(2017, 5, 1))], "source_object string, d date")
     with pytest.raises(Exception, match="unsupported source_object: nothing"):
         with_registry(unknown).collect()
+    with pytest.raises(Exception, match="unsupported source_object: nothing"):
+        with_registry(unknown).select("d").collect()
     assert with_registry(unknown, strict=False).first().kind is None

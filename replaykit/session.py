@@ -26,15 +26,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SCRATCH = "replaykit.scratch.dir"
+
+
+def scratch_if_unset(spark: SparkSession) -> None:
+    """Name a machine-local folder where no shared one is named: for tests and local runs only."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)):
+        spark.conf.set(SCRATCH, tempfile.mkdtemp(prefix="replaykit-"))
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder for intermediate tables.
+    """A fresh folder for an intermediate table, below the one in ``spark.checkpoint.dir``.
 
-    A cluster names its shared folder in ``spark.checkpoint.dir``.  Only when
-    that is unset (tests, local runs) does a machine-local folder serve.
+    Driver and executors must see the same files, so there is no fallback to a
+    temporary folder of one machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)
     if not base:
-        base = tempfile.mkdtemp(prefix="replaykit-")
+        raise ValueError("no shared folder: set spark.checkpoint.dir to one that driver and executors see")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from replaykit.session import scratch_if_unset
+
 from .bindings import plain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +20,7 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         def bound(spark: SparkSession, sf: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            scratch_if_unset(spark)
             return plain(run(spark, sf))
 
         bound.__name__ = name

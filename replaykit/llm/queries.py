@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import divergence, merkle
+from . import divergence, merkle, parity_join
 from .catalog import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op2_parity_join")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return parity_join.near_duplicates(table(spark, sf, "documents"))
+
+
 @query("op7_merkle_fingerprints")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.with_neighbour_edits(table(spark, sf, "documents").select("doc_id", "text"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import divergence, merkle, parity_join
+from . import divergence, merkle, parity_join, suffix_dedup
 from .catalog import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -24,3 +24,8 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     judged = divergence.judged(table(spark, sf, "documents").select("doc_id", "text", "lang"))
     return judged.selectExpr("row.doc_id AS doc_id", "* EXCEPT (row)")
+
+
+@query("op9_suffix_dedup")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.removals(table(spark, sf, "documents"))

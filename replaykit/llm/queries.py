@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import divergence, merkle, parity_join, suffix_dedup
+from . import divergence, merkle, packing, parity_join, poisson_mix, suffix_dedup
 from .catalog import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -15,6 +15,36 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return parity_join.near_duplicates(table(spark, sf, "documents"))
 
 
+@query("op3_best_two_fit")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.packed(table(spark, sf, "documents"))
+
+
+MIXED = f"""
+WITH sizes AS (
+  SELECT coalesce('s' || source, 'n') AS src, count(*)::DOUBLE AS n FROM documents GROUP BY 1
+), rates AS (
+  SELECT src, pow(n, {poisson_mix.TEMPERATURE}) / (SELECT sum(pow(n, {poisson_mix.TEMPERATURE})) FROM sizes) * (SELECT sum(n) FROM sizes) / n AS rate FROM sizes
+), cdf AS (
+  SELECT src, j, sum(exp(-rate + j * ln(rate) - lgamma(j + 1))) OVER (PARTITION BY src ORDER BY j) AS c
+  FROM rates, range(0, 80) AS t(j)
+), drawn AS (
+  SELECT d.*, coalesce('s' || source, 'n') AS src,
+    (('0x' || substr(md5('{poisson_mix.SEED}:' || doc_id || ':1'), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+  FROM documents d
+), counted AS (
+  SELECT doc_id, text, lang, source, n_chars, (SELECT count(*) FROM cdf WHERE cdf.src = drawn.src AND cdf.c <= drawn.u) AS k FROM drawn
+)
+SELECT doc_id, text, lang, source, n_chars, copy::INTEGER AS copy, md5('{poisson_mix.SEED + 1}:' || doc_id || ':' || copy) AS shuffle_key
+FROM counted, range(0, 80) AS t(copy) WHERE copy < k
+"""
+
+
+@query("op6_poisson_mix", MIXED)
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return poisson_mix.replicated(table(spark, sf, "documents"))
+
+
 @query("op7_merkle_fingerprints")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.with_neighbour_edits(table(spark, sf, "documents").select("doc_id", "text"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import divergence, merkle, packing, parity_join, poisson_mix, suffix_dedup
+from . import divergence, language_id, merkle, packing, parity_join, poisson_mix, suffix_dedup
 from .catalog import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -59,3 +59,9 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_suffix_dedup")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.removals(table(spark, sf, "documents"))
+
+
+@query("op10_kneser_ney_languages")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return language_id.predicted(docs, language_id.train(docs))

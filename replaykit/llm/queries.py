@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import divergence, language_id, merkle, packing, parity_join, poisson_mix, suffix_dedup
+from . import chat_template, divergence, language_id, merkle, packing, parity_join, poisson_mix, suffix_dedup
 from .catalog import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -20,6 +20,15 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return packing.packed(table(spark, sf, "documents"))
 
 
+PLANTED = "SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
+
+
+@query("op5_chat_template")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_template.digests(rows.unionByName(spark.sql(PLANTED)))
+
+
 MIXED = f"""
 WITH sizes AS (
   SELECT coalesce('s' || source, 'n') AS src, count(*)::DOUBLE AS n FROM documents GROUP BY 1

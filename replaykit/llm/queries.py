@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_template, divergence, language_id, merkle, packing, parity_join, poisson_mix, suffix_dedup
+from . import chat_template, divergence, html_text, language_id, merkle, packing, parity_join, poisson_mix, suffix_dedup
 from .catalog import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op1_html_differencing")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf, "pages"))
+
+
 @query("op2_parity_join")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     return parity_join.near_duplicates(table(spark, sf, "documents"))

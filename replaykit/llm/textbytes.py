@@ -87,13 +87,13 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Texts]:
         at = end
 
 
-def word_spans(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of all maximal runs of bytes that are not ASCII white space; none crosses a text."""
+def word_spans(texts: Texts, gap: np.ndarray = ASCII_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of all maximal runs of bytes that are no gap; none crosses a text."""
     data, offsets = texts.data, texts.offsets
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     ink = np.zeros(len(data) + 1, bool)
-    np.logical_not(ASCII_SPACE[data], out=ink[:-1])
+    np.logical_not(gap[data], out=ink[:-1])
     begins = ink[:-1].copy()
     begins[1:] &= ~ink[:-2]
     inner = offsets[1:-1]
@@ -105,9 +105,9 @@ def word_spans(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
-def word_hashes(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: Texts, gap: np.ndarray = ASCII_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words and, for each text, the index of its first word (one entry more)."""
-    starts, ends = word_spans(texts)
+    starts, ends = word_spans(texts, gap)
     first = np.searchsorted(starts, texts.offsets)
     out = np.zeros(len(starts), np.uint64)
     at = 0

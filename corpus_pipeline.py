@@ -1,5 +1,82 @@
-"""Corpus preparation as stages over ``documents``."""
+"""Corpus preparation: quality rules, near duplicates, repeated passages, mixing of sources, packing.
+
+Every stage takes what its predecessor kept and is written before the next one reads it.  All but the last return the
+columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from replaykit.llm import divergence, packing, parity_join, poisson_mix, suffix_dedup
+from replaykit.llm.catalog import query, table
+from replaykit.session import scratch_if_unset, shared_dir
+
+# No stage after the first can be told in SQL (sketch joins, byte runs, hash-seeded copies, packing).
+ORACLE_SQL = None
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or lie far from every language reference go."""
+    return divergence.judged(docs).where("kept").select("row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest doc_id stays.
+
+    Of rows that repeat a doc_id one stays; rows without doc_id stay.
+    """
+    placed = parity_join.near_duplicates(docs)
+    staying = placed.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(staying, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes in strings that occur elsewhere too are cut from the texts; no document goes."""
+    cut = suffix_dedup.cuts(docs, want_text=True).where("n_removed > 0")
+    cut = cut.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("kept").alias("_kept"))
+    digest = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    joined = docs.withColumn("_own", digest).join(cut, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left")
+    text = F.when(F.col("_digest").isNotNull(), F.col("_kept")).otherwise(F.col("text"))
+    changed = {"text": text}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("_digest").isNotNull(), F.length("_kept").cast("bigint")).otherwise(F.col("n_chars"))
+    return joined.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are replicated to their target weights and shuffled."""
+    return poisson_mix.replicated(docs).select(*docs.columns)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces in sequences."""
+    return packing.packed(docs)
+
+
+def _with_scratch(stage):
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        scratch_if_unset(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES = [
+    (f.__name__, _with_scratch(f)) for f in (quality_rules, near_duplicates, repeated_passages, mixed_sources, packed_sequences)
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = shared_dir(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
+
+
+query("pipeline", ORACLE_SQL)(run)

@@ -13,7 +13,7 @@ from .text import WHITESPACE_CLASS, is_blank
 # as null.
 _BUSINESS_DATE = (
     rf"^{WHITESPACE_CLASS}*((?!0000)[0-9]{{4}}-(?:1[0-2]|0?[1-9])-(?:3[01]|[12][0-9]|0?[1-9]))"
-    rf"(?:\s+(?:2[0-3]|[01]?[0-9]):[0-5]?[0-9]:[0-5]?[0-9])?{WHITESPACE_CLASS}*$"
+    rf"(?:{WHITESPACE_CLASS}+((?:2[0-3]|[01]?[0-9]):[0-5]?[0-9]:[0-5]?[0-9]))?{WHITESPACE_CLASS}*$"
 )
 
 
@@ -22,6 +22,12 @@ def business_date(text: Column) -> Column:
     return F.regexp_extract(text, _BUSINESS_DATE, 1).try_cast("date")
 
 
+def business_timestamp(text: Column) -> Column:
+    """The same texts with their time of day; a time alone or a part of a date is malformed."""
+    parts = [F.regexp_extract(text, _BUSINESS_DATE, i) for i in (1, 2)]
+    return F.btrim(F.concat_ws(" ", *parts)).try_cast("timestamp")
+
+
 def business_date_issue(text: Column, parsed: Column) -> Column:
     """``missing``, ``malformed`` or null, given the text and its parsed date."""
     return F.when(is_blank(text), "missing").when(parsed.isNull(), "malformed")

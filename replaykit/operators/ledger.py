@@ -112,14 +112,19 @@ def completeness(completed: DataFrame, days: DataFrame, expected: Sequence[str]
     )
 
 
+def of_days(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows of the requested days, before any ranking or counting."""
+    return rows.join(days.select("delivery_date").distinct(), "delivery_date", "left_semi")
+
+
 def date_completeness(events: DataFrame, days: DataFrame, expected: Sequence[str] = DAILY_SOURCES) -> DataFrame:
-    return completeness(logical_completion(events), days, expected)
+    return completeness(logical_completion(of_days(events, days)), days, expected)
 
 
 def incomplete_summary(events: DataFrame, days: DataFrame, expected: Sequence[str] = DAILY_SOURCES) -> DataFrame:
     """Per day, every expected source that never completed and where its last attempt stopped."""
     grid = expected_grid(days, tuple(expected))
-    state = pair_state(events).select(*PAIR, "latest_status", "latest_stage", "completed")
+    state = pair_state(of_days(events, days)).select(*PAIR, "latest_status", "latest_stage", "completed")
     open_pairs = grid.join(state, list(PAIR), "left").filter(
         ~F.coalesce("completed", F.lit(False))
     )
@@ -203,16 +208,20 @@ def confirm_steps(confirmed: Column) -> Column:
     return F.when(confirmed, _steps(("success", "warehouse")))
 
 
-def explode_steps(outcomes: DataFrame, steps: Column, run_id: str) -> DataFrame:
+def explode_steps(outcomes: DataFrame, steps: Column, run_id: str, attempt: Column | None = None) -> DataFrame:
     """One row per transition with an id derived from its identity.
 
-    A derived id makes a retried task, or a retried append, produce the same
-    events again, which the append then drops as duplicates.
+    A derived id makes a retried task, or a repeated append of the same rows,
+    produce the same events again, which the append then drops.  State and
+    ``attempt`` (a text, such as the time an attempt began) belong to the
+    identity, so a run that is retried under its own id adds new events.
     """
     exploded = outcomes.select("*", F.posexplode(steps).alias("step", "event"))
-    identity = F.concat_ws(
-        "|", F.lit(run_id), F.col("delivery_date").cast("string"), "source_object", F.col("step").cast("string")
-    )
+    parts = [
+        F.lit(run_id), F.col("delivery_date").cast("string"), F.col("source_object"), F.col("step").cast("string"),
+        F.col("event.status"), F.col("event.stage"),
+    ]
+    identity = F.concat_ws("|", *parts, *([] if attempt is None else [attempt]))
     return exploded.select(
         *[c for c in outcomes.columns],
         "step",

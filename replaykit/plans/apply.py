@@ -17,21 +17,19 @@ from .attempts import (
     append_artifacts,
     append_events,
     append_loads,
+    attempt_of,
     derived_id,
     load_sources,
     utc_now,
 )
 from .replay import LANDING_FACTS
 
-# A request is refused with at most this many problems named.
-NAMED_PROBLEMS = 5
-
 
 def _refuse(problems: DataFrame, what: str) -> None:
-    named = problems.limit(NAMED_PROBLEMS).collect()
+    """Raise with every problem in order; they are no more than the pairs of the plan and the request."""
+    named = sorted(" ".join(str(v) for v in row) for row in problems.collect())
     if named:
-        listed = "; ".join(" ".join(str(v) for v in row) for row in named)
-        raise ValueError(f"{what}: {listed}")
+        raise ValueError(f"{what}: {'; '.join(named)}")
 
 
 def _load_error() -> Column:
@@ -70,6 +68,8 @@ def apply_plan(
     """
     check_request(plan, supplied, deliveries)
     stamp = Stamps(clock)
+    started = stamp()
+    attempt = attempt_of(started)
     create_ledger(spark, database, "replay_events")
     known = provenance.artifact_by_uri(spark.table(create_ledger(spark, database, "artifact_provenance")))
     known = known.select(*PAIR, "gcs_uri", F.col("provenance_id").alias("known_id"))
@@ -94,14 +94,13 @@ def apply_plan(
             "error_message",
             *LANDING_FACTS,
             F.when(action == "load_only", F.col("known_id"))
-            .when(ingesting, derived_id(run_id, "artifact"))
+            .when(ingesting, derived_id(run_id, "artifact", attempt))
             .alias("provenance_id"),
             F.coalesce((action == "reconcile") & (F.col("verdict") == "confirmed"), F.lit(False)).alias("confirmed"),
         ),
         "recovery",
     )
     loadable = (action == "load_only") & F.col("provenance_id").isNotNull() | F.col("ingest_ok")
-    started = stamp()
 
     def record(load_ok, keep) -> None:
         with_flags = attempts.withColumn("load_ok", load_ok)
@@ -115,7 +114,7 @@ def apply_plan(
     record(F.lit(True), (step == 1) & (action == "ingest_and_load"))
     failed = load_sources(attempts.filter(loadable), database, rows_of)
     load_ok = loadable & ~F.col("source_object").isin(*failed) if failed else loadable
-    append_loads(attempts.filter(load_ok), database, run_id, stamp())
+    append_loads(attempts.filter(load_ok), database, run_id, attempt, stamp())
     last = (
         ((action == "load_only") & (step == 1))
         | ((action == "ingest_and_load") & (step == 2))

@@ -8,8 +8,11 @@ between leaves exactly the state reconciliation resolves.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Callable
 
+from py4j.protocol import Py4JNetworkError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ from ..operators.ledger import PAIR, explode_steps
 from ..sources.registry import DAILY_SOURCES, is_transactional
 from ..sources.tables import append_ledger, partition_counts, replace_partitions
 
+log = logging.getLogger(__name__)
+
 Clock = Callable[[], dt.datetime]
 RowsOf = Callable[[str], DataFrame]
 
@@ -42,11 +47,15 @@ class Stamps:
         return F.lit(now)
 
 
-def derived_id(run_id: str, kind: str) -> Column:
-    """Stable id of a pair's record in a run; repeating the run's work repeats the id."""
-    return F.sha2(
-        F.concat_ws("|", F.lit(run_id), F.lit(kind), F.col("delivery_date").cast("string"), "source_object"), 256
-    )
+def attempt_of(started_at: Column) -> Column:
+    """What tells one attempt of a run from the next: the time it began."""
+    return F.unix_micros(started_at).cast("string")
+
+
+def derived_id(run_id: str, kind: str, attempt: Column) -> Column:
+    """Id of a pair's record in one attempt of a run; appending the same record again repeats it."""
+    pair = (F.col("delivery_date").cast("string"), F.col("source_object"))
+    return F.sha2(F.concat_ws("|", F.lit(run_id), F.lit(kind), *pair, attempt), 256)
 
 
 def append_events(
@@ -60,7 +69,7 @@ def append_events(
     load_error: Column | None = None,
 ) -> None:
     """Append the transitions that ``keep`` selects among an attempt's steps."""
-    rows = explode_steps(attempts, steps, run_id).filter(keep)
+    rows = explode_steps(attempts, steps, run_id, attempt_of(started_at)).filter(keep)
     failed, ingestion = F.col("status") == "failed", F.col("stage") == "ingestion"
     if load_error is None:
         load_error = safe_error("warehouse_load_failed", "replay", "load", "Warehouse load failed")
@@ -97,8 +106,9 @@ def append_artifacts(attempts: DataFrame, database: str, run_id: str, recorded_a
 def load_sources(attempts: DataFrame, database: str, rows_of: RowsOf) -> set[str]:
     """Replace the partitions of every attempted pair, one write per source table.
 
-    Returns the sources whose write failed; a failure does not stop the other
-    sources.  What went wrong stays in the driver log, never in a ledger.
+    Returns the sources whose write failed; a failed write does not stop the
+    other sources.  What went wrong goes to the log, never into a ledger.
+    Errors of the plan itself, such as an absent table, and a lost session end the job.
     """
     failed = set()
     for source in DAILY_SOURCES:
@@ -107,27 +117,33 @@ def load_sources(attempts: DataFrame, database: str, rows_of: RowsOf) -> set[str
             continue
         try:
             replace_partitions(rows_of(source), database, source, days)
-        except Exception:  # noqa: BLE001 - isolated per source, recorded as a failed load
+        except (AnalysisException, Py4JNetworkError):
+            raise
+        except Exception as error:  # noqa: BLE001 - isolated per source, recorded as a failed load
+            log.warning("load of %s failed: %s", source, type(error).__name__)
             failed.add(source)
     return failed
 
 
-def loaded_counts(spark: SparkSession, database: str, sources: list[str]) -> DataFrame:
-    """Rows per loaded partition, read from the tables after the write."""
-    counts = spark.createDataFrame([], "source_object string, partition_date date, n bigint")
-    for source in sources:
-        counts = counts.unionByName(partition_counts(spark, database, source))
+def loaded_counts(spark: SparkSession, database: str, days: dict[str, list[dt.date]]) -> DataFrame:
+    """Rows per loaded partition, read from the tables after the write; only the given days are read."""
+    counts = spark.sql("SELECT '' AS source_object, DATE'0001-01-01' AS partition_date, 0L AS n WHERE false")
+    for source, listed in days.items():
+        counts = counts.unionByName(partition_counts(spark, database, source, listed))
     return counts
 
 
-def append_loads(loaded: DataFrame, database: str, run_id: str, recorded_at: Column) -> None:
+def append_loads(loaded: DataFrame, database: str, run_id: str, attempt: Column, recorded_at: Column) -> None:
     """Load provenance of every loaded pair, its row count taken from the table itself."""
     spark = loaded.sparkSession
-    sources = [s for s in DAILY_SOURCES if spark.catalog.tableExists(f"{database}.{s}")]
-    counts = loaded_counts(spark, database, sources).withColumnRenamed("partition_date", "delivery_date")
+    days: dict[str, list[dt.date]] = {}
+    for row in loaded.select(*PAIR).distinct().collect():  # one date per day and source of the range
+        days.setdefault(row.source_object, []).append(row.delivery_date)
+    days = {s: sorted(d) for s, d in sorted(days.items()) if spark.catalog.tableExists(f"{database}.{s}")}
+    counts = loaded_counts(spark, database, days).withColumnRenamed("partition_date", "delivery_date")
     source, day = F.col("source_object"), F.col("delivery_date")
     rows = loaded.join(counts, list(PAIR), "left").select(
-        derived_id(run_id, "load").alias("load_id"),
+        derived_id(run_id, "load", attempt).alias("load_id"),
         "provenance_id",
         F.lit(run_id).alias("run_id"),
         *PAIR,

@@ -17,11 +17,12 @@ def initial_load(spark: SparkSession, database: str, outcomes: DataFrame, rows_o
     unexpected or failed source refuses the load before any table changes.
     No ledger rows are written: master data has no delivery date.
     """
-    per_source = outcomes.groupBy("source_object").agg(F.bool_and(F.col("status") == "success").alias("ok"))
-    ok = {row.source_object: row.ok for row in per_source.limit(2 * len(MASTER_SOURCES)).collect()}
+    source, good = F.col("source_object"), F.col("status") == "success"
+    per_source = outcomes.filter(source.isin(*MASTER_SOURCES)).groupBy(source).agg(F.bool_and(good).alias("ok"))
+    ok = {row.source_object: row.ok for row in per_source.collect()}
+    unexpected = outcomes.filter(~F.coalesce(source.isin(*MASTER_SOURCES), F.lit(False))).count()
     missing = sorted(set(MASTER_SOURCES) - set(ok))
-    unexpected = sorted(set(ok) - set(MASTER_SOURCES))
-    failed = sorted(s for s, good in ok.items() if not good)
+    failed = sorted(s for s, succeeded in ok.items() if not succeeded)
     if missing or unexpected or failed:
-        raise ValueError(f"initial batch refused: missing {missing}, unexpected {unexpected}, failed {failed}")
+        raise ValueError(f"initial batch refused: missing {missing}, failed {failed}, rows of other sources: {unexpected}")
     return {source: replace_master(rows_of(source), database, source) for source in MASTER_SOURCES}

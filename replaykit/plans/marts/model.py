@@ -88,7 +88,10 @@ def dim_date(orders: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def fct_orders(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
-    """One row per order with item and payment totals; children are summed before the join."""
+    """One row per order with item and payment totals; children are summed before the join.
+
+    Raw tables keep repeated deliveries, so every parent is reduced to one row per key first.
+    """
     item_totals = items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_items"), F.sum("price").alias("items_value")
     )
@@ -97,7 +100,8 @@ def fct_orders(orders: DataFrame, items: DataFrame, payments: DataFrame) -> Data
     delivered = F.to_date("order_delivered_customer_date")
     zero = F.lit(0).cast("decimal(28,2)")
     return (
-        orders.join(item_totals, "order_id", "left")
+        _one_per(orders, "order_id")
+        .join(item_totals, "order_id", "left")
         .join(payment_totals, "order_id", "left")
         .select(
             "order_id",
@@ -116,12 +120,12 @@ def fct_orders(orders: DataFrame, items: DataFrame, payments: DataFrame) -> Data
 
 
 def fct_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    header = orders.select(
+    header = _one_per(orders, "order_id").select(
         "order_id", "customer_id", "order_status", F.to_date("order_purchase_timestamp").alias("purchase_date")
     )
     return (
         items.join(header, "order_id", "left")
-        .join(products.select("product_id", "product_category_name"), "product_id", "left")
+        .join(_one_per(products, "product_id").select("product_id", "product_category_name"), "product_id", "left")
         .select(
             "order_id",
             "order_item_id",
@@ -137,14 +141,14 @@ def fct_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) ->
 
 
 def fct_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
-    header = orders.select(
+    header = _one_per(orders, "order_id").select(
         "order_id", "customer_id", F.to_date("order_purchase_timestamp").alias("purchase_date")
     )
     return payments.join(header, "order_id", "left")
 
 
 def fct_reviews(reviews: DataFrame, orders: DataFrame) -> DataFrame:
-    header = orders.select(
+    header = _one_per(orders, "order_id").select(
         "order_id", "customer_id", F.to_date("order_purchase_timestamp").alias("purchase_date")
     )
     return reviews.join(header, "order_id", "left").select(

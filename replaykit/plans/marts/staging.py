@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ...functions.dates import business_date
+from ...functions.dates import business_date, business_timestamp
 from ...functions.text import strip
 
 MONEY = "decimal(18,2)"
@@ -22,7 +22,7 @@ def _number(name: str, kind: str, alias: str | None = None) -> Column:
 
 
 def _time(name: str) -> Column:
-    return F.col(name).try_cast("timestamp").alias(name)
+    return business_timestamp(F.col(name)).alias(name)
 
 
 def _date(name: str) -> Column:

@@ -17,6 +17,7 @@ from .attempts import (
     append_artifacts,
     append_events,
     append_loads,
+    attempt_of,
     derived_id,
     load_sources,
     utc_now,
@@ -67,8 +68,9 @@ def replay_range(
     appends under its own run id.
     """
     stamp = Stamps(clock)
+    started = stamp()
     events = create_ledger(spark, database, "replay_events")
-    reached = attempted_days(days, deliveries, outcomes, spark.table(events))
+    reached = attempted_days(days, deliveries, outcomes, ledger_of(spark, events, days))
     work = reached.filter("accepted").select("delivery_date")
     expected = F.col("source_object").isin(*DAILY_SOURCES)
     attempts = written_table(
@@ -79,11 +81,10 @@ def replay_range(
             (F.col("status") == "success").alias("ingest_ok"),
             "error_message",
             *LANDING_FACTS,
-            derived_id(run_id, "artifact").alias("provenance_id"),
+            derived_id(run_id, "artifact", attempt_of(started)).alias("provenance_id"),
         ),
         "replay",
     )
-    started = stamp()
     steps = ledger.replay_steps(F.col("ingest_ok"), F.lit(True))
     append_events(attempts, steps, F.col("step") == 0, database, run_id, started, started)
     ingested = attempts.filter("ingest_ok")
@@ -91,10 +92,19 @@ def replay_range(
     append_events(attempts, steps, F.col("step") == 1, database, run_id, started, stamp())
     failed = load_sources(ingested, database, rows_of)
     load_ok = ~F.col("source_object").isin(*failed) if failed else F.lit(True)
-    append_loads(ingested.filter(load_ok), database, run_id, stamp())
+    append_loads(ingested.filter(load_ok), database, run_id, attempt_of(started), stamp())
     steps = ledger.replay_steps(F.col("ingest_ok"), load_ok)
     append_events(attempts, steps, F.col("step") == 2, database, run_id, started, stamp())
-    return range_status(spark.table(events), days)
+    return range_status(ledger_of(spark, events, days), days)
+
+
+def ledger_of(spark: SparkSession, table: str, days: DataFrame) -> DataFrame:
+    """Ledger rows of the requested days, read from their partitions alone.
+
+    The days of a range come to the driver, one date each.
+    """
+    listed = sorted(row[0] for row in days.select("delivery_date").distinct().collect())
+    return spark.table(table).filter(F.col("delivery_date").isin(listed))
 
 
 def range_status(events: DataFrame, days: DataFrame) -> DataFrame:

@@ -24,10 +24,6 @@ from .registry import columns_of, with_registry
 _WHOLE_FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
 _WHOLE_LINE = rf"^{_WHOLE_FIELD}(?:,{_WHOLE_FIELD})*+$"
 
-# Beyond this many multi-line files the whole root is parsed in multi-line
-# mode, which gives the same rows.
-MULTILINE_FILE_LIST = 10_000
-
 _CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "inferSchema": "false", "mode": "PERMISSIVE"}
 
 
@@ -84,7 +80,12 @@ def file_checks(expected: DataFrame, listing: DataFrame) -> DataFrame:
 
 
 def is_whole_record(line: Column) -> Column:
-    return ~line.contains('"') | line.rlike(_WHOLE_LINE)
+    """Whether the line reader keeps this line as the record that it is.
+
+    Spark's line mode drops lines of white space, which are records of one
+    field, so a file with such a line is parsed whole.
+    """
+    return (~line.contains('"') | line.rlike(_WHOLE_LINE)) & ((line == "") | line.rlike(r"[^\x00-\x20]"))
 
 
 def _lines(spark: SparkSession, root: str) -> DataFrame:
@@ -148,9 +149,9 @@ def header_contract(files: DataFrame, required: str = "required_columns") -> Dat
 
 
 def _multiline_paths(facts: DataFrame) -> list[str]:
-    """Files with fields over several lines, at most one more than the list limit."""
-    unsafe = facts.filter(~F.col("line_safe")).select("path").limit(MULTILINE_FILE_LIST + 1)
-    return [row.path for row in unsafe.collect()]
+    """Files that cannot be read by line; Spark's file index holds these names on the driver as well."""
+    unsafe = facts.filter(~F.col("line_safe")).select("path")
+    return sorted(row.path for row in unsafe.collect())
 
 
 def _csv_rows(spark: SparkSession, root: str, width: int, multiline: bool, keep: Column | None = None) -> DataFrame:
@@ -166,8 +167,6 @@ def _positional_rows(spark: SparkSession, root: str, width: int, facts: DataFram
     paths = _multiline_paths(facts)
     if not paths:
         return _csv_rows(spark, root, width, False)
-    if len(paths) > MULTILINE_FILE_LIST:
-        return _csv_rows(spark, root, width, True)
     # A filter on the file path prunes whole files, so each file is read once.
     listed = F.col("_metadata.file_path").isin(paths)
     single = _csv_rows(spark, root, width, False, ~listed)
@@ -224,7 +223,7 @@ def record_counts(spark: SparkSession, root: str, facts: DataFrame | None = None
     paths = _multiline_paths(facts)
     if not paths:
         return by_line
-    keep = F.col("_metadata.file_path").isin(paths) if len(paths) <= MULTILINE_FILE_LIST else None
+    keep = F.col("_metadata.file_path").isin(paths)
     parsed = _csv_rows(spark, root, 1, True, keep).select("path")
     counted = parsed.groupBy("path").agg(F.count(F.lit(1)).alias("parsed_count"))
     joined = by_line.join(counted, "path", "left")

@@ -12,43 +12,58 @@ from ..operators.runs import classify
 from .deliveries import file_checks, file_facts, header_contract, record_counts
 from .registry import with_registry
 
-# Files up to this size are hashed inside the JVM from one in-memory value;
-# larger ones are streamed, so any size is hashed in constant memory.
-IN_MEMORY_BYTES = 256 * 1024 * 1024
-
-
-def checksums(spark: SparkSession, root: str, in_memory_bytes: int = IN_MEMORY_BYTES) -> DataFrame:
-    """SHA-256 and size of every file, files hashed in parallel."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    files = reader.load(root).withColumn("uri", F.col("_metadata.file_path"))
-    small = files.filter(F.col("length") <= in_memory_bytes).select(
-        F.col("uri").alias("path"),
-        F.col("length").alias("file_size_bytes"),
-        F.sha2("content", 256).alias("checksum"),
-    )
-    large = files.filter(F.col("length") > in_memory_bytes).select(
-        F.col("uri").alias("path"), F.col("length").alias("file_size_bytes")
+BYTE_ORDER_MARK = b"\xef\xbb\xbf"
+
+
+def checksums(spark: SparkSession, root: str) -> DataFrame:
+    """SHA-256 and size of every file, by one route for any size and any store that Spark reads.
+
+    Files are read in blocks as lines; the lines of a file are brought together
+    in order and streamed through the digest, so memory does not depend on its
+    size.  The reader leaves out a byte-order mark and does not tell whether the
+    last line ends; the file's size tells both: three bytes and one.
+    """
+    lines = (
+        spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(root)
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_size").alias("file_size_bytes"),
+            F.col("_metadata.file_block_start").alias("block_start"),
+            F.monotonically_increasing_id().alias("position"),
+            F.col("value").cast("binary").alias("value"),
+        )
+        .repartition("path")
+        .sortWithinPartitions("path", "block_start", "position")
+        .select("path", "file_size_bytes", "value")
     )
 
-    def stream(batches: Iterator) -> Iterator:
+    def digest(batches: Iterator) -> Iterator:
         import hashlib
-        from urllib.parse import unquote
+        from itertools import groupby
+
+        import pyarrow as pa
 
-        from pyarrow import fs
+        def rows() -> Iterator:
+            for batch in batches:
+                yield from zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True)
 
-        for batch in batches:
-            digests = []
-            for uri in batch["path"]:
-                filesystem, path = fs.FileSystem.from_uri(uri)
-                digest = hashlib.sha256()
-                with filesystem.open_input_stream(unquote(path)) as handle:
-                    while chunk := handle.read(1 << 20):
-                        digest.update(chunk)
-                digests.append(digest.hexdigest())
-            yield batch.assign(checksum=digests)
+        for (path, size), group in groupby(rows(), key=lambda row: row[:2]):
+            plain, marked, seen, gap = hashlib.sha256(), hashlib.sha256(BYTE_ORDER_MARK), 0, b""
+            for _, _, value in group:
+                piece = gap + value
+                plain.update(piece)
+                marked.update(piece)
+                seen, gap = seen + len(piece), b"\n"
+            missing = size - seen
+            whole = marked if missing >= len(BYTE_ORDER_MARK) else plain
+            if missing % len(BYTE_ORDER_MARK) == 1:
+                whole.update(b"\n")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([path]), pa.array([size], pa.int64()), pa.array([whole.hexdigest()])],
+                names=["path", "file_size_bytes", "checksum"],
+            )
 
-    hashed = large.mapInPandas(stream, "path string, file_size_bytes bigint, checksum string")
-    return small.unionByName(hashed)
+    return lines.mapInArrow(digest, "path string, file_size_bytes bigint, checksum string")
 
 
 def landing_manifest(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
@@ -108,7 +123,8 @@ def ingestion_outcomes(
     )
     judged = contract.withColumn("valid", valid)
     counts = record_counts(spark, root, facts).select("path", "record_count")
-    manifest = landing_manifest(spark, root, judged).select("path", "landing_path", "checksum")
+    # only files that will land may claim a landing path
+    manifest = landing_manifest(spark, root, judged.filter(valid)).select("path", "landing_path", "checksum")
     landed = landing_conflicts(manifest, existing).withColumn("landed", ~F.col("conflict"))
     joined = judged.join(counts, "path", "left").join(landed, "path", "left")
     return classify(joined.withColumn("counted", F.col("record_count") >= 0))

@@ -77,18 +77,18 @@ def create_raw_table(spark: SparkSession, database: str, source_object: str) ->
 def append_ledger(rows: DataFrame, database: str, ledger: str) -> None:
     """Insert rows whose id is new; a repeated append changes nothing.
 
-    Only the date span of the new rows is read back, and rows are sorted by
-    source inside each file so that Parquet statistics prune lookups.
+    Only the partitions of the new rows' days are read back, and rows are sorted
+    by source inside each file so that Parquet statistics prune lookups.
     """
     spark = rows.sparkSession
     table = create_ledger(spark, database, ledger)
     key = LEDGERS[ledger][0]
     stored = spark.table(table)
     fresh = rows.select(*stored.columns).dropDuplicates([key])
-    first, last = rows.agg(F.min(PARTITION), F.max(PARTITION)).first()
-    if first is None:
+    days = sorted(row[0] for row in rows.select(PARTITION).distinct().collect())
+    if not days:
         return
-    span = stored.filter(F.col(PARTITION).between(F.lit(first), F.lit(last))).select(PARTITION, key)
+    span = stored.filter(F.col(PARTITION).isin(days)).select(PARTITION, key)
     new = fresh.join(span, [PARTITION, key], "left_anti").select(*stored.columns)
     ordered = new.hint("rebalance", PARTITION).sortWithinPartitions(PARTITION, "source_object")
     ordered.write.mode("append").insertInto(table)
@@ -142,9 +142,14 @@ def registered_partitions(spark: SparkSession, database: str, source_object: str
     return listed.select(F.lit(source_object).alias("source_object"), day.alias("partition_date"))
 
 
-def partition_counts(spark: SparkSession, database: str, source_object: str) -> DataFrame:
-    """Rows per day; only file footers and the partition column are read."""
-    counted = spark.table(f"{database}.{source_object}").groupBy(PARTITION).agg(F.count(F.lit(1)).alias("n"))
+def partition_counts(
+    spark: SparkSession, database: str, source_object: str, days: list[dt.date] | None = None
+) -> DataFrame:
+    """Rows per day, of the given days or of all; only file footers and the partition column are read."""
+    table = spark.table(f"{database}.{source_object}")
+    if days is not None:
+        table = table.filter(F.col(PARTITION).isin(days))
+    counted = table.groupBy(PARTITION).agg(F.count(F.lit(1)).alias("n"))
     return counted.select(
         F.lit(source_object).alias("source_object"), F.col(PARTITION).alias("partition_date"), "n"
     )

@@ -136,12 +136,39 @@ def test_listing_reads_no_contents(spark, root):
     assert "content" not in plan
 
 
-def test_checksums_small_and_streamed(spark, root):
-    expected = {hashlib.sha256(text.encode()).hexdigest() for text in BODY.values()}
-    for limit in (1 << 20, 100, 0):
-        got = checksums(spark, str(root), limit).collect()
-        assert {r.checksum for r in got} == expected
-        assert len(got) == len(BODY)
+def test_checksums(spark, tmp_path):
+    bodies = {
+        "plain.csv": b"a\nb\n", "open.csv": b"a\nb", "blank.csv": b"\n", "marked.csv": b"\xef\xbb\xbfa\r\nb\r\n",
+        "marked_open.csv": b"\xef\xbb\xbfa", "only_mark.csv": b"\xef\xbb\xbf\n", "bytes.csv": b"\xff\x00\n\n\xfe",
+        "large.csv": b"".join(b"%d,row\n" % n for n in range(30_000)),
+    }
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = {r.path.rsplit("/", 1)[1]: (r.checksum, r.file_size_bytes) for r in checksums(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {n: (hashlib.sha256(b).hexdigest(), len(b)) for n, b in bodies.items()}
+
+
+def test_a_line_of_white_space_is_a_record(spark, tmp_path):
+    folder = tmp_path / "sellers"
+    folder.mkdir()
+    (folder / "a.csv").write_text(f"{HEADER}\n1,1,a,b\n  \n2,2,a,b\n\n")
+    facts = d.file_facts(spark, str(folder))
+    assert d.scan_csv(spark, str(folder), "sellers", facts).count() == 3
+    assert d.record_counts(spark, str(folder), facts).first().record_count == 3
+
+
+def test_an_invalid_file_claims_no_landing_path(spark, tmp_path):
+    for part, body in (("a", b"seller_id\n1\n"), ("b", BODY["plain.csv"].encode())):
+        folder = tmp_path / part / "sellers" / "delivery_date=2021-03-08"
+        folder.mkdir(parents=True)
+        (folder / "same.csv").write_bytes(body)
+    none = spark.createDataFrame([], "landing_path string")
+    got = ingestion_outcomes(spark, str(tmp_path), F.col("delivery_date"), none)
+    assert sorted(r.status for r in got.collect()) == ["failed", "success"]
 
 
 def test_outcomes(spark, tmp_path):

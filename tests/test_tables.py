@@ -12,6 +12,7 @@ from replaykit.operators.checks import artifact_rules, event_rules, load_rules,
 from replaykit.plans.apply import apply_plan, recovery_summary
 from replaykit.plans.initial import initial_load
 from replaykit.plans.replay import range_status, replay_range
+from replaykit.session import written_table
 from replaykit.sources import tables
 from replaykit.sources.registry import DAILY_SOURCES, MASTER_SOURCES, columns_of
 
@@ -156,6 +157,37 @@ def test_three_day_replay(spark, database):
     assert counts(spark, database, "orders") == {1: 1, 2: 1, 3: 1}
 
 
+def test_a_run_retried_under_its_id_completes(spark, database):
+    days, outcomes = day_frame(spark, 1), outcomes_of(spark, (1,))
+    good = rows_of(spark)
+
+    def broken(source):
+        frame = good(source)
+        return frame.withColumn("order_id", F.raise_error(F.lit("no disk")).cast("string")) if source == "payments" else frame
+
+    done = replay_range(spark, database, days, outcomes, outcomes, broken, "run-1", lambda: CLOCK)
+    assert progress(done) == {1: "incomplete"}
+    again = CLOCK + dt.timedelta(hours=1)
+    done = replay_range(spark, database, days, outcomes, outcomes, good, "run-1", lambda: again)
+    assert progress(done) == {1: "complete"}
+    assert_ledgers_legal(spark, database)
+    events = spark.table(f"{database}.replay_events")
+    before = events.count()
+    tables.append_ledger(written_table(events, "again"), database, "replay_events")
+    assert spark.table(f"{database}.replay_events").count() == before
+
+
+def test_a_ledger_of_many_days_is_read_for_the_requested_ones(spark, database):
+    from replaykit.plans.replay import ledger_of
+
+    outcomes = outcomes_of(spark, (1, 2, 3))
+    replay_range(spark, database, day_frame(spark, 1, 2, 3), outcomes, outcomes, rows_of(spark), "run-1", lambda: CLOCK)
+    some = ledger_of(spark, f"{database}.replay_events", day_frame(spark, 2))
+    assert rows(some.select("delivery_date").distinct()) == [(DAY[2],)]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(delivery_date" in plan and "2017-05-02" in plan or "17288" in plan
+
+
 def test_replay_stops_and_recovery_completes(spark, database):
     days = day_frame(spark, 1, 2, 3)
     outcomes = outcomes_of(spark, (1, 2, 3), bad={(2, "payments")})

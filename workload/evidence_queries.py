@@ -528,7 +528,7 @@ FROM results WHERE action = 'ingest_and_load' AND ingest_ok
 
 @query("recovery_events", sql("""
 SELECT delivery_date, source_object, action, step, status, stage, 'recovery-1' AS run_id,
-       sha256('recovery-1|' || delivery_date || '|' || source_object || '|' || step) AS event_id
+       sha256('recovery-1|' || delivery_date || '|' || source_object || '|' || step || '|' || status || '|' || stage) AS event_id
 FROM recovery_steps
 """, *RESULTS, "recovery_steps"))
 def recovery_events(spark, sf):

@@ -207,7 +207,7 @@ FROM outcomes GROUP BY 1, 2
 
 @query("events_from_outcomes", sql("""
 SELECT delivery_date, source_object, step, status, stage, 'run-1' AS run_id,
-       sha256('run-1|' || delivery_date || '|' || source_object || '|' || step) AS event_id
+       sha256('run-1|' || delivery_date || '|' || source_object || '|' || step || '|' || status || '|' || stage) AS event_id
 FROM (
   SELECT delivery_date, source_object, 0 AS step, 'running' AS status, 'ingestion' AS stage FROM pair_outcomes
   UNION ALL

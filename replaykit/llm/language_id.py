@@ -63,7 +63,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = [grams(symbols(texts[i] or "")) for i in np.flatnonzero(langs == lang)]
             keys, counts = np.unique(np.concatenate(own), return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(keys)), pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], names=["lang", "gram", "n"]
+                [pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], names=["lang", "gram", "n"]
             )
 
 

@@ -9,7 +9,7 @@ from replaykit.functions.dates import effective_ingestion_date, historical_inges
 from replaykit.session import shared_dir
 from replaykit.operators.runs import PHASES
 from replaykit.sources import deliveries as d
-from replaykit.sources.landing import ingestion_outcomes, landing_conflicts, landing_manifest
+from replaykit.sources.landing import checksums, ingestion_outcomes, landing_conflicts, landing_manifest
 from replaykit.sources.registry import columns_of
 
 from . import bindings as b
@@ -130,6 +130,19 @@ def manifest(spark, sf):
     return landing_manifest(spark, delivered_root(spark, sf), named_files(spark, sf))
 
 
+@query("artifact_checksums", sql("""
+SELECT source, sha256(body) AS checksum, CAST(octet_length(encode(body)) AS BIGINT) AS file_size_bytes
+FROM (SELECT source, string_agg(text, chr(10) ORDER BY doc_id) || chr(10) AS body FROM documents GROUP BY 1)
+"""))
+def artifact_checksums(spark, sf):
+    """Digests of files whose bytes SQL can tell as well: the texts of each source, one file per source."""
+    root = shared_dir(spark, "texts")
+    rows = b.table(spark, sf, "documents").repartition("source").sortWithinPartitions("source", "doc_id")
+    rows.select("text", "source").write.partitionBy("source").text(root)
+    source = F.regexp_extract("path", "/source=([^/]*)/", 1)
+    return checksums(spark, root).select(source.alias("source"), "checksum", "file_size_bytes")
+
+
 @query("landing_conflicts", sql("""
 SELECT k, landing_path, conflict FROM (
   SELECT k, landing_path, row_number() OVER (PARTITION BY landing_path ORDER BY k) > 1

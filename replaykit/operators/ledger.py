@@ -46,7 +46,8 @@ def latest_attempt_per_source(events: DataFrame) -> DataFrame:
 def latest_attempt(events: DataFrame, pairs: DataFrame) -> DataFrame:
     """Newest event of each requested pair; null event columns when never attempted."""
     wanted = pairs.select(*PAIR).distinct()
-    return wanted.join(latest_attempt_per_source(events), list(PAIR), "left")
+    theirs = events.join(wanted, list(PAIR), "left_semi")
+    return wanted.join(latest_attempt_per_source(theirs), list(PAIR), "left")
 
 
 def logical_completion(events: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import constant_table
 from ..sources.registry import DAILY_SOURCES
 from .ledger import (
     PAIR,
@@ -17,7 +18,7 @@ from .ledger import (
     replay_steps,
 )
 
-# The five actions with their reason texts.
+# The five actions with their reason texts.  The first four are fixed values; the last is worded here.
 REASONS = {
     "skip": "source has already logically completed (SUCCESS|WAREHOUSE recorded)",
     "ingest_and_load": "no logical completion and no reusable Raw artifact exists in GCS or BigQuery",
@@ -186,10 +187,8 @@ def result_outcome() -> Column:
 
 
 def legal_results(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(LEGAL_RESULTS),
-        "action string, outcome string, ingest_status string, has_load boolean, reconciliation string",
-    )
+    kinds = dict.fromkeys(("action", "outcome", "ingest_status", "has_load", "reconciliation"), "string")
+    return constant_table(spark, LEGAL_RESULTS, {**kinds, "has_load": "boolean"})
 
 
 def result_checks(results: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,4 +57,35 @@ def written_table(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_written: list[str] = []
+
+
+def written_so_far() -> list[str]:
+    """Folders of the intermediate tables that this process has written and not dropped."""
+    return list(_written)
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Remove intermediate tables that nothing reads any more; only folders written by written_table go."""
+    for path in paths:
+        if path in _written:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            _written.remove(path)
+
+
+def constant_table(spark: SparkSession, rows: Iterable[tuple], schema: dict[str, str]) -> DataFrame:
+    """A few fixed rows as SQL values, whose size the optimiser knows and for which no Python worker starts."""
+
+    def text(value) -> str:
+        if isinstance(value, (list, tuple)):
+            return f"CAST(array({', '.join(map(text, value))}) AS array<string>)"
+        return str(value).lower() if isinstance(value, bool) else f"'{value}'"
+
+    values = ", ".join(f"({', '.join(map(text, row))})" for row in rows)
+    columns = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in schema.items())
+    return spark.sql(f"SELECT {columns} FROM VALUES {values} AS t({', '.join(schema)})")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import constant_table
+
 MASTER = "master"
 TRANSACTIONAL = "transactional"
 
@@ -84,11 +86,8 @@ def registry(spark: SparkSession) -> DataFrame:
         (name, system, kind, list(columns), list(SLICE_COLUMNS.get(name, ())))
         for name, (system, kind, columns) in SOURCES.items()
     ]
-    return spark.createDataFrame(
-        rows,
-        "source_object string, source_system string, kind string, "
-        "required_columns array<string>, slice_columns array<string>",
-    )
+    schema = dict.fromkeys(("source_object", "source_system", "kind"), "string")
+    return constant_table(spark, rows, {**schema, "required_columns": "array<string>", "slice_columns": "array<string>"})
 
 
 def with_registry(df: DataFrame, strict: bool = True) -> DataFrame:
@@ -107,4 +106,4 @@ def with_registry(df: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def expected_sources(spark: SparkSession, sources: tuple[str, ...] = DAILY_SOURCES) -> DataFrame:
-    return spark.createDataFrame([(s,) for s in sources], "source_object string")
+    return constant_table(spark, [(s,) for s in sources], {"source_object": "string"})

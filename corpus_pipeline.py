@@ -1,7 +1,7 @@
 """Corpus preparation: quality rules, near duplicates, repeated passages, mixing of sources, packing.
 
-Every stage takes what its predecessor kept and is written before the next one reads it.  All but the last return the
-columns of ``documents``.
+Every stage takes what its predecessor kept and is written before the next one reads it, so a stage drops the intermediate
+tables of its predecessor.  All but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from replaykit.llm import divergence, packing, parity_join, poisson_mix, suffix_dedup
 from replaykit.llm.catalog import query, table
-from replaykit.session import scratch_if_unset, shared_dir
+from replaykit.session import drop_tables, scratch_if_unset, shared_dir, written_so_far
 
 # No stage after the first can be told in SQL (sketch joins, byte runs, hash-seeded copies, packing).
 ORACLE_SQL = None
@@ -56,10 +56,19 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.packed(docs)
 
 
+_earlier: list[str] = []
+
+
 def _with_scratch(stage):
+    """A stage that first drops the intermediate tables of the stage before, whose result is written by then."""
+
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         scratch_if_unset(spark)
-        return stage(spark, docs, sf_dir)
+        drop_tables(spark, _earlier)
+        before = set(written_so_far())
+        out = stage(spark, docs, sf_dir)
+        _earlier[:] = [p for p in written_so_far() if p not in before]
+        return out
 
     return run
 

@@ -117,21 +117,22 @@ def clear_partitions(spark: SparkSession, table: str, days: Iterable[dt.date]) -
 def replace_partitions(rows: DataFrame, database: str, source_object: str, days: DataFrame) -> str:
     """Replace exactly the given days, in one write for all of them.
 
-    ``rows`` carries ``delivery_date``; rows of other days are not written.
+    ``rows`` carries ``delivery_date``; rows of other days are not written.  The
+    days come to the driver first, one date each, so they prune partitioned input.
     Dynamic overwrite leaves a day without rows as it was, so the write
     observes which days it filled and the others (a list of dates, one per day
     at most) are emptied after it.  The rows are computed once.
     """
     spark = rows.sparkSession
     table = create_raw_table(spark, database, source_object)
-    wanted = days.select(PARTITION).distinct()
-    kept = rows.join(wanted, PARTITION, "left_semi").select(*columns_of(source_object), PARTITION)
+    wanted = sorted(row[0] for row in days.select(PARTITION).distinct().collect())
+    kept = rows.filter(F.col(PARTITION).isin(wanted)).select(*columns_of(source_object), PARTITION)
     seen = Observation()
     observed = kept.observe(seen, F.collect_set(PARTITION).alias("days"))
     ordered = observed.hint("rebalance", PARTITION).sortWithinPartitions(PARTITION)
     ordered.write.mode("overwrite").insertInto(table)
     filled = set(seen.get.get("days") or ())
-    clear_partitions(spark, table, [row[0] for row in wanted.collect() if row[0] not in filled])
+    clear_partitions(spark, table, [day for day in wanted if day not in filled])
     return table
 
 

@@ -13,11 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from replaykit.session import written_table
+
 PIECE = 64
 PARAGRAPHS_PER_SECTION = 8
 SECTION_DIGITS = 12
 PIECE_DIGITS = 6
 ID_BITS_PER_LEVEL = 16
+BLOCK_BITS = 10
 
 
 def fingerprints(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -65,17 +68,12 @@ def edited_sections(left: str, right: str) -> Column:
     return F.filter(F.sequence(F.lit(0), n - 1), lambda i: ~F.try_element_at(a, i + 1).eqNullSafe(F.try_element_at(b, i + 1)))
 
 
-def next_lower(ids: DataFrame, column: str) -> DataFrame:
-    """For each distinct non-null id the largest one below it, the largest of all for the smallest.
+def next_lower(keys: DataFrame) -> DataFrame:
+    """For each distinct non-null ``k`` the largest one below it, as ``below`` (null for the smallest).
 
-    Ids are grouped by their upper bits, level by level, so that no window holds more than 65,536 rows.
+    Keys are grouped by their upper bits, level by level, so that no window holds more than 65,536 rows.
     """
-    keys = ids.select(F.col(column).cast("bigint").alias("k")).where("k IS NOT NULL").distinct()
-    below = _below(keys, 64 // ID_BITS_PER_LEVEL - 1)
-    top = keys.agg(F.max("k").alias("top"))
-    least = keys.agg(F.min("k").alias("k"))
-    wrap = least.withColumn("one", F.lit(1)).join(top.withColumn("one", F.lit(1)), "one").select("k", "top")
-    return below.join(F.broadcast(wrap), "k", "left").select(F.col("k").alias(column), F.coalesce("below", "top").alias("next_id"))
+    return _below(keys.select(F.col("k").cast("bigint").alias("k")).where("k IS NOT NULL").distinct(), 64 // ID_BITS_PER_LEVEL - 1)
 
 
 def _below(keys: DataFrame, levels: int) -> DataFrame:
@@ -90,6 +88,39 @@ def _below(keys: DataFrame, levels: int) -> DataFrame:
     return inside.where("inside IS NOT NULL").select("k", F.col("inside").alias("below")).unionByName(last)
 
 
+def with_next_text(docs: DataFrame) -> DataFrame:
+    """Each row with ``next_text``: the text of the largest doc_id below its own, for the smallest that of the largest.
+
+    Texts move into blocks of neighbouring ids, once for all rows and once to find the edges of
+    blocks; only the edges are joined.
+    """
+    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    blocks = own.where("doc_id IS NOT NULL").withColumn("block", F.shiftright("doc_id", BLOCK_BITS))
+    down = Window.partitionBy("block").orderBy(F.desc("doc_id"), F.asc("text"))
+    follower = F.lead(F.struct("doc_id", "text")).over(down)
+    walked = blocks.withColumn("_follower", follower).withColumn("_place", F.row_number().over(down))
+    # of rows that repeat a doc_id only the last one sees the next id
+    other = F.when(F.col("_follower.doc_id") != F.col("doc_id"), F.col("_follower.text"))
+    walked = walked.withColumn("next_text", F.max(other).over(Window.partitionBy("block", "doc_id")))
+    # written, as the plans of its two uses would move all texts once each
+    frontier = written_table(
+        walked.where("_place = 1 OR next_text IS NULL").select(
+            "block", "doc_id", "text", (F.col("_place") == 1).alias("is_head"), F.col("next_text").isNull().alias("is_edge")
+        ),
+        "block-edges",
+    )
+    heads = frontier.where("is_head").select(F.col("block").alias("next_block"), F.col("text").alias("head"))
+    keys = own.select(F.shiftright("doc_id", BLOCK_BITS).alias("k"))
+    highest = keys.agg(F.max("k")).first()[0]
+    following = next_lower(keys).select(F.col("k").alias("block"), F.coalesce("below", F.lit(highest)).alias("next_block"))
+    edges = frontier.where("is_edge").join(following, "block").join(heads, "next_block")
+    return (
+        walked.where("next_text IS NOT NULL").select("doc_id", "text", "next_text")
+        .unionByName(edges.select("doc_id", "text", F.col("head").alias("next_text")))
+        .unionByName(own.where("doc_id IS NULL").select("doc_id", "text", F.lit("").alias("next_text")))
+    )
+
+
 def with_neighbour_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text, of its edited text and of the next text, by descending doc_id.
 
@@ -97,18 +128,13 @@ def with_neighbour_edits(docs: DataFrame) -> DataFrame:
     Rows with a null doc_id come out with an empty next text; of rows that repeat a doc_id the
     smallest text serves as the next one.
     """
-    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))
-    ids = next_lower(docs, "doc_id")
-    following = ids.select(F.col("doc_id").alias("before"), F.col("next_id").alias("doc_id"))
-    heads = own.groupBy("doc_id").agg(F.min("text").alias("next_text")).where("doc_id IS NOT NULL")
-    heads = heads.join(following, "doc_id").select(F.col("before").alias("doc_id"), "next_text")
-    printed = fingerprints(own, "text", "fingerprint")
-    kept = F.expr("left(text, cast(n_chars - n_chars div 2 as int))")
-    shape = printed.select("doc_id", "n_chars", "fingerprint", kept.alias("kept"))
-    paired = shape.join(heads, "doc_id", "left").withColumn("next_text", F.coalesce("next_text", F.lit("")))
-    edited = paired.withColumn("edited", F.expr("concat(kept, left(next_text, cast(n_chars div 2 as int)))"))
-    both = fingerprints(fingerprints(edited, "edited", "edited_fingerprint"), "next_text", "next_fingerprint")
-    return both.select(
+    paired = with_next_text(docs).withColumn("n_chars", F.length("text").cast("bigint"))
+    edited = paired.withColumn(
+        "edited", F.expr("concat(left(text, cast(n_chars - n_chars div 2 as int)), left(next_text, cast(n_chars div 2 as int)))")
+    )
+    for text, out in (("text", "fingerprint"), ("edited", "edited_fingerprint"), ("next_text", "next_fingerprint")):
+        edited = fingerprints(edited, text, out)
+    return edited.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),

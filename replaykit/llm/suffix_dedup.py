@@ -39,10 +39,10 @@ WINDOW = 200
 ORDER = 11
 V = ORDER * ORDER + ORDER + 1
 CORE = WINDOW - V + 1
-PIECE = 2 << 20
-UNIT_SAMPLES = 1 << 21
+PIECE = 1 << 20
+UNIT_SAMPLES = 1 << 20
 TWIN = 1 << 23
-SAMPLES_PER_BUCKET = 1_000_000
+SAMPLES_PER_BUCKET = 700_000
 GROUP_LIMIT = 4096
 KEY_MASK = np.uint64((1 << 40) - 1)
 
@@ -393,14 +393,17 @@ def cuts(docs: DataFrame, want_text: bool = False) -> DataFrame:
     one_each = source.join(marked, same).drop("m_id", "m_digest")
     open_docs = written_table(one_each.dropDuplicates(["doc_id", "digest"]), "suffix-texts")
     contexts = open_docs.where("length(shown) > 0").mapInArrow(_contexts, CONTEXT_SCHEMA)
-    contexts = written_table(contexts, "suffix-contexts")
-    crowded = contexts.groupBy("core").count().where(F.col("count") > GROUP_LIMIT).select("core", F.lit(True).alias("crowded"))
-    split = contexts.join(crowded, "core", "left")
-    few = split.where("crowded IS NULL").drop("crowded").withColumn("deal", F.pmod(F.xxhash64("core"), F.lit(buckets * 4)))
-    runs = few.groupBy("deal").applyInPandas(lambda rows: _resolve(rows.drop(columns="deal")), RUN_SCHEMA)
-    scattered = split.where("crowded").drop("crowded").mapInPandas(_scatter, "value bigint, doc_id bigint, digest bigint, first bigint")
-    twice = scattered.groupBy("value").agg(F.count("*").alias("n")).where("n > 1").select("value")
-    runs = runs.unionByName(scattered.join(twice, "value").select("doc_id", "digest", "first", F.col("first").alias("last")))
+    # contexts are made twice rather than stored: they are many times the texts that they come from
+    crowded = written_table(contexts.groupBy("core").count().where(F.col("count") > GROUP_LIMIT).select("core"), "suffix-crowded")
+    few = contexts
+    if crowded.limit(1).count():
+        few = contexts.join(crowded, "core", "left_anti")
+    dealt = few.withColumn("deal", F.pmod(F.xxhash64("core"), F.lit(buckets * 4)))
+    runs = dealt.groupBy("deal").applyInPandas(_resolve, RUN_SCHEMA)
+    if few is not contexts:
+        scattered = contexts.join(crowded, "core", "left_semi").mapInPandas(_scatter, "value bigint, doc_id bigint, digest bigint, first bigint")
+        twice = scattered.groupBy("value").agg(F.count("*").alias("n")).where("n > 1").select("value")
+        runs = runs.unionByName(scattered.join(twice, "value").select("doc_id", "digest", "first", F.col("first").alias("last")))
     gathered = runs.groupBy("doc_id", "digest").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
     gathered = gathered.select(F.col("doc_id").alias("m_id"), F.col("digest").alias("m_digest"), "runs")
     return open_docs.drop("shown").join(gathered, same, "left").drop("m_id", "m_digest").mapInArrow(_cut(want_text), CUT_SCHEMA)

@@ -10,10 +10,11 @@ of both share the first pair that they have in common.  Only these are joined.
 Bands of fewer than 32 shingles give each shingle a block of its own.  If a document fills fewer than k + 1
 blocks, all sketches of the run are made wider.
 
-Candidates are verified on the sets of whole texts.  Equal sets form a class first and take part once.
-Pairs that meet in a block of more than ``ALL_PAIRS`` classes are first compared with one class of the block only; then what
-is still unconnected is compared on parity bits (whose Hamming distance is such a lower bound too), in
-blocks of rows, and what passes is verified.  No link is lost and no group is cut.
+Equal sets form a class first and take part once.  Candidates are filtered on a second sketch of single bits,
+four or more for each shingle, whose Hamming distance is such a lower bound too; the sketch of a larger set is folded
+to the width of the other.  What passes is verified on the sets of whole texts.
+In a block of more than ``ALL_PAIRS`` classes each is first paired with three of them only; what is still unconnected
+then is compared on the single bits in blocks of rows.  No link is lost and no group is cut.
 
 Null and empty texts have no shingles and link with nothing.  Rows repeating a doc_id are judged by their own text.
 """
@@ -36,12 +37,13 @@ from .textbytes import ASCII_LOWER, Texts, chunks, mix, string_buffers, word_has
 WORDS = 5
 ELEMENT_BAND = 5  # below 2**5 shingles
 SHINGLES_PER_BLOCK = (0.75, 1.5)  # in bands below and from 2**8
-PARITY_BITS = 2048
+LEAST_BITS = 512
+BITS_PER_SHINGLE = 4
 ALL_PAIRS = 32
 CELL = 64
 COMPARE_BLOCK = 512
-KEYS_PER_BUCKET = 800_000
-FLUSH_KEYS = 2_000_000
+KEYS_PER_BUCKET = 500_000
+FLUSH_KEYS = 1_000_000
 KEY_MASK = np.uint64((1 << 40) - 1)
 _WEIGHTS = mix(np.arange(1, WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -71,8 +73,14 @@ def set_digest(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def parity_bits(shingles: np.ndarray) -> bytes:
-    ones = np.bincount((shingles & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
-    return np.packbits(ones.astype(np.uint8)).tobytes()
+    width = max(LEAST_BITS, BITS_PER_SHINGLE << max(len(shingles) - 1, 0).bit_length())
+    ones = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(ones.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bits: bytes, n_bytes: int) -> np.ndarray:
+    """The sketch at a smaller width: places that become one add up modulo 2."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint64).reshape(-1, n_bytes // 8), axis=0)
 
 
 def bands(n: int) -> list[tuple[int, int]]:
@@ -202,8 +210,10 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
             continue
         for s in at.tolist():
             group = owners[s : s + size]
-            out_a.append(np.full(size - 1, group[0]))
-            out_b.append(group[1:])
+            for hub in (0, size // 2, size - 1):
+                rest = np.delete(group, hub)
+                out_a.append(np.minimum(rest, group[hub]))
+                out_b.append(np.maximum(rest, group[hub]))
             members[int(mix(group.view(np.uint64)).sum(dtype=np.uint64).astype(np.int64))] = group
     pairs = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)], 1), axis=0) if out_a else np.zeros((0, 2), np.int64)
     parts = [pd.DataFrame({"kind": np.int32(0), "a": pairs[:, 0], "b": pairs[:, 1]})]
@@ -241,21 +251,37 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return wanted.groupBy("cell_a", "cell").applyInPandas(_verify, "a bigint, b bigint")
 
 
+def _near_enough(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs whose single bits differ in no more places than their sets may."""
+    for rows in batches:
+        widths = [min(len(x), len(y)) for x, y in zip(rows["pa"], rows["pb"], strict=True)]
+        apart = np.array([int(np.bitwise_count(folded(x, w) ^ folded(y, w)).sum()) for x, y, w in zip(rows["pa"], rows["pb"], widths, strict=True)], np.int64)
+        fits = apart <= (rows["na"].to_numpy() + rows["nb"].to_numpy()) // 7
+        yield rows.loc[fits, ["a", "fa", "b", "fb"]]
+
+
+def _sketched(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, fa, na, b, fb, nb) of representatives that their parity bits allow."""
+    bits = classes.select("rep", "parity")
+    both = pairs.join(bits.withColumnsRenamed({"rep": "a", "parity": "pa"}), "a").join(bits.withColumnsRenamed({"rep": "b", "parity": "pb"}), "b")
+    return both.mapInPandas(_near_enough, "a bigint, fa bigint, b bigint, fb bigint")
+
+
 def _compare(rows: pd.DataFrame) -> pd.DataFrame:
     """Pairs of unconnected members, across two blocks or inside one, that size and parity bits allow."""
     i, j = int(rows["i"].iat[0]), int(rows["j"].iat[0])
-    left, right = rows[rows["block"] == i], rows[rows["block"] == j]
-    n, m = left["n"].to_numpy(), right["n"].to_numpy()
-    bits = np.frombuffer(b"".join(right["parity"]), np.uint64).reshape(len(right), -1)
+    width = min(map(len, rows["parity"]))
+    bits = np.stack([folded(x, width) for x in rows["parity"]])
+    n, root, block, ids, fps = (rows[c].to_numpy() for c in ("n", "root", "block", "id", "fp1"))
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
     out = []
-    for x in range(len(left)):
-        own = np.frombuffer(left["parity"].iat[x], np.uint64)
-        apart = np.bitwise_count(bits ^ own).sum(axis=1)
-        fits = (apart <= (n[x] + m) // 7) & (4 * np.minimum(m, n[x]) >= 3 * np.maximum(m, n[x])) & (right["root"].to_numpy() != left["root"].iat[x])
-        if i == j:
-            fits &= right["id"].to_numpy() > left["id"].iat[x]
-        hit = right[fits]
-        out += [(left["id"].iat[x], left["fp1"].iat[x], b, f) for b, f in zip(hit["id"], hit["fp1"], strict=True)]
+    for r in np.unique(root[left]).tolist():
+        # rows of one component are not compared with each other
+        one, many = sorted((left[root[left] == r], right[root[right] != r]), key=len)
+        for x in one.tolist():
+            apart = np.bitwise_count(bits[many] ^ bits[x]).sum(axis=1)
+            hit = many[(apart <= (n[x] + n[many]) // 7) & (4 * np.minimum(n[many], n[x]) >= 3 * np.maximum(n[many], n[x]))]
+            out += [(ids[x], fps[x], ids[y], fps[y]) for y in hit.tolist()]
     return pd.DataFrame(out, columns=["a", "fa", "b", "fb"], dtype=np.int64)
 
 
@@ -294,9 +320,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     swap = F.col("ra") > F.col("rb")
     pairs = pairs.select(
         F.least("ra", "rb").alias("a"), F.when(swap, F.col("b")).otherwise(F.col("a")).alias("fa"),
-        F.greatest("ra", "rb").alias("b"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("fb"),
+        F.greatest("ra", "rb").alias("b"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("fb"), "na", "nb",
     )
-    links = written_table(_verified(docs, pairs), "near-links")
+    candidates = written_table(_sketched(pairs, classes), "near-pairs")
+    links = written_table(_verified(docs, candidates), "near-links")
     roots = components(links)
     members = met.where("kind = 1").select(F.col("a").alias("gid"), F.col("b").alias("fp1")).distinct()
     if members.limit(1).count():

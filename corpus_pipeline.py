@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replaykit.llm import divergence, packing, parity_join, poisson_mix, suffix_dedup
-from replaykit.llm.catalog import query, table
-from replaykit.session import drop_tables, scratch_if_unset, shared_dir, written_so_far
+from replaykit.llm.catalog import prepare, query, table
+from replaykit.session import drop_tables, shared_dir, written_so_far
 
 # No stage after the first can be told in SQL (sketch joins, byte runs, hash-seeded copies, packing).
 ORACLE_SQL = None
@@ -63,7 +63,7 @@ def _with_scratch(stage):
     """A stage that first drops the intermediate tables of the stage before, whose result is written by then."""
 
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        scratch_if_unset(spark)
+        prepare(spark)
         drop_tables(spark, _earlier)
         before = set(written_so_far())
         out = stage(spark, docs, sf_dir)

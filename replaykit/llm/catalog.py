@@ -14,10 +14,20 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+# Rows of an Arrow batch: texts are long, and a batch is held whole on both sides.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Settings that the operators count on."""
+    scratch_if_unset(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         def bound(spark: SparkSession, sf: str) -> DataFrame:
-            scratch_if_unset(spark)
+            prepare(spark)
             return run(spark, sf)
 
         bound.__name__ = name

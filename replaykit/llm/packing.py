@@ -27,11 +27,11 @@ from pyspark.sql import types as T
 
 from replaykit.session import written_table
 
-from .textbytes import ASCII_LOWER, Texts, chunks, mix, prefix_sums, span_hashes, word_spans
+from .textbytes import ASCII_LOWER, CHUNK_BYTES, Texts, chunks, mix, prefix_sums, span_hashes, word_spans
 
 CAPACITY = 2048
 END_ID = 0
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 300_000
 ROWS_PER_SALT = 100_000
 TAIL = np.zeros(256, bool)
 TAIL[list(b".,;:!?$%&*#")] = True
@@ -83,7 +83,7 @@ class _Words:
 
 
 def _shared_words(path: str) -> _Words:
-    """One table of words for each process, so that it outlives a task."""
+    """One tokenizer for each process, so that it outlives a task."""
     holder = sys.modules.setdefault("_packing_words", types.ModuleType("_packing_words"))
     if not hasattr(holder, "by_path"):
         holder.by_path = {}
@@ -116,7 +116,7 @@ def token_ids(texts: Texts, words: _Words) -> tuple[np.ndarray, np.ndarray]:
     hashes = np.zeros(len(part_starts), np.uint64)
     at = 0
     while at < len(part_starts):
-        stop = max(at + 1, int(np.searchsorted(part_ends, part_starts[at] + (2 << 20), "right")))
+        stop = max(at + 1, int(np.searchsorted(part_ends, part_starts[at] + CHUNK_BYTES, "right")))
         low, high = int(part_starts[at]), int(part_ends[stop - 1])
         hashes[at:stop] = mix(span_hashes(prefix_sums(data[low:high]), part_starts[at:stop] - low, part_ends[at:stop] - low))
         at = stop
@@ -151,6 +151,7 @@ def _pieces(path: str, capacity: int):
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             columns = list(zip(*rows, strict=True)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        words.clear()  # an idle worker holds no words
 
     return run
 

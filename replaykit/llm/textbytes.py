@@ -8,7 +8,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 ASCII_SPACE = np.zeros(256, bool)
 ASCII_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 ASCII_LOWER = np.arange(256, dtype=np.uint8)

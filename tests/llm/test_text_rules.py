@@ -186,3 +186,11 @@ def test_common_lines_are_a_longest_common_subsequence():
         places = html_text.common_lines(a, b)
         rest = iter(b)
         assert len(places) == table[-1][-1] and all(x in rest for x in (a[i] for i in sorted(places)))
+
+
+def test_lines_that_pages_of_a_host_repeat_inside_marked_articles_go(spark):
+    article = "<nav>menu</nav><article><p>Welcome to the site</p><p>{}</p><p>{} again</p><p>Terms</p></article>"
+    rows = [(n, f"http://h.example/a/{n}", article.format(f"text {n // 3}", f"text {n // 3}")) for n in range(9)]  # three copies of each
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extracted(df.coalesce(1)).collect()}
+    assert got == {n: f"text {n // 3}\n\ntext {n // 3} again" for n in range(9)}

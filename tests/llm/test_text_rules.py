@@ -194,3 +194,40 @@ def test_lines_that_pages_of_a_host_repeat_inside_marked_articles_go(spark):
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     got = {r.page_id: r.text for r in html_text.extracted(df.coalesce(1)).collect()}
     assert got == {n: f"text {n // 3}\n\ntext {n // 3} again" for n in range(9)}
+
+
+def test_short_articles_copies_and_edges_of_ranges_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    site = [f"<p>menu {k}</p>" for k in range(4)], [f"<p>notice {k}</p>" for k in range(4)]
+    rows = []
+    for n in range(160):
+        k = rng.choice([n, n, 7, 8])  # 7 and 8 stand on many pages
+        own = "".join(f"<p>own {k} {j}</p>" for j in range(4))
+        body = "".join(site[0]) + own + "".join(site[1])
+        host = rng.choice(["h", "h", "h", "g", f"x{n}"])
+        rows.append((n, f"http://{host}.example/{rng.choice('ab')}/{rng.randint(100, 140)}", f"<article>{body}</article>" if rng.random() < 0.5 else body))
+    pages = []
+    for n, url, body in rows:
+        host, path = re.match(r"http://([^/]*)(.*)", url).groups()
+        pages.append((host, path, url, n, html_text.Page(n, url, host, path.strip("/").split("/"), html_text.blocks(body))))
+    pages.sort(key=lambda p: p[:4])
+    lines = [[b.text for b in p[4].blocks] for p in pages]
+    marked = [p[4].blocks[0].main for p in pages]
+    want = {}
+    for i, p in enumerate(pages):
+        fits = [j for j, q in enumerate(pages) if q[0] == p[0] and lines[j] != lines[i] and (marked[j] or not marked[i])]
+        before = max((j for j in fits if j < i), default=None)
+        after = min((j for j in fits if j > i), default=None)
+        want[p[3]] = html_text.main_text(p[4], pages[before][4] if before is not None else None, pages[after][4] if after is not None else None)
+    assert sum(t.count("own") == 4 and "menu" not in t for t in want.values()) > 100
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for ranges in ("1", "5", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", ranges)
+            out = html_text.extracted(df).collect()
+            assert len(out) == len(rows) and {r.page_id: r.text for r in out} == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)

@@ -31,6 +31,13 @@ def test_quality_figures_equal_brute_force(spark):
         assert not (r.kept and failed) and 0 <= r.char_distance <= 1 and 0 <= r.word_distance <= 1
 
 
+def test_repeated_words_are_exact_above_a_million_words(spark):
+    words = [f"w{n}" for n in range(1_200_000)]
+    df = spark.createDataFrame([(1, " ".join(words + words[:4])), (2, " ".join(words))], "doc_id bigint, text string")
+    got = divergence.measured(df).selectExpr("row.doc_id", "n_words", "n_repeat_words").collect()
+    assert {tuple(r) for r in got} == {(1, 1_200_004, 8), (2, 1_200_000, 0)}
+
+
 def test_odd_symbols_are_rejected_and_prose_is_kept(spark):
     good = [prose(n, 200) for n in range(30)]
     bad = [" ".join(w + "%%$" for w in prose(n, 200).split()) for n in range(100, 103)]

@@ -147,6 +147,22 @@ def test_licenses_are_found_whole_split_and_not_elsewhere(spark):
     assert license_scan.collision_probability(0.25, license_scan.BANDS) > 0.9999
 
 
+def test_whole_licenses_near_variants_and_tags_are_told_apart(spark):
+    whole = dict(license_scan.TEMPLATES[21:38])
+    items, want = [], []
+    for name, text in whole.items():
+        items += [prose(7, 3000) + "\n" + text + "\n" + prose(8, 900)]
+        want += [name]
+    items += ["\n".join(x for x in whole["MIT"].split("\n") if "hereby" not in x and "obtaining" not in x)]
+    items += ["This work is licensed under the GNU Lesser General Public License, version 3.", "This work is licensed under the GNU General Public License, version 2."]
+    items += ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Licensed under CC BY-SA 4.0."]
+    items += ["// SPDX-License-Identifier: GPL-2.0-or-later", "# SPDX-License-Identifier: EPL-2.0", "SPDX-License-Identifier: MIT", "SPDX-License-Identifier: unknown"]
+    want += ["MIT", "LGPL-3.0", "GPL-2.0", "CC-BY-SA-4.0", "CC-BY-SA-4.0", "GPL-2.0", "EPL-2.0", "MIT", ""]
+    df = documents(spark, items=items)
+    got = {r.text: r.licenses for r in license_scan.summary(license_scan.scanned(df)).join(df, "doc_id").collect()}
+    assert [got[x] for x in items] == want
+
+
 PAGE = '<html><head><title>T</title><script>if (a < b) x("</p>")</script></head><body><nav><ul><li>menu</ul></nav>{}<footer>foot</footer></body></html>'
 
 

@@ -14,7 +14,8 @@ Equal sets form a class first and take part once.  Candidates are filtered on a
 four or more for each shingle, whose Hamming distance is such a lower bound too; the sketch of a larger set is folded
 to the width of the other.  What passes is verified on the sets of whole texts.
 In a block of more than ``ALL_PAIRS`` classes each is first paired with three of them only; what is still unconnected
-then is compared on the single bits in blocks of rows.  No link is lost and no group is cut.
+then is compared on the single bits in blocks of rows.  The join gives components, and these are whole; it does not give links: inside a
+block of more than ``ALL_PAIRS`` classes most links between members of one component are neither found nor verified.
 
 Null and empty texts have no shingles and link with nothing.  Rows repeating a doc_id are judged by their own text.
 """

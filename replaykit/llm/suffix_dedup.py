@@ -41,7 +41,9 @@ V = ORDER * ORDER + ORDER + 1
 CORE = WINDOW - V + 1
 PIECE = 1 << 20
 UNIT_SAMPLES = 1 << 20
-TWIN = 1 << 23
+# above the place of a sample in its unit, 12 of 133 bytes of a text below 2**31 bytes
+TWIN = 1 << 31
+ENTRY_BYTES = 14
 SAMPLES_PER_BUCKET = 700_000
 GROUP_LIMIT = 4096
 KEY_MASK = np.uint64((1 << 40) - 1)
@@ -152,10 +154,10 @@ def _packed(held: list[tuple], buckets: int) -> pa.RecordBatch:
     proven = np.sort(order[same]).astype(np.uint32)
     key = core[sent]
     bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)  # ascending, as the keys are
-    entries = np.zeros((len(sent), 13), np.uint8)
+    entries = np.zeros((len(sent), ENTRY_BYTES), np.uint8)
     entries[:, 0:5] = (key & KEY_MASK).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
     entries[:, 5:10] = context[sent].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-    entries[:, 10:13] = (sent + twin * TWIN).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+    entries[:, 10:14] = (sent + twin * TWIN).astype("<u4").view(np.uint8).reshape(-1, 4)
     starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, np.int64)
     ends = np.append(starts[1:], len(bucket)) if len(bucket) else starts
     n = len(starts)
@@ -188,10 +190,10 @@ def _rank(rows: pd.DataFrame) -> pd.DataFrame:
     named = rows[rows["docs"].notna()]
     out = [(u, d, p, None) for u, d, p in zip(named["unit"], named["docs"], named["proven"], strict=True)]
     rows = rows[rows["entries"].notna()]
-    raw = np.frombuffer(b"".join(rows["entries"]), np.uint8).reshape(-1, 13)
-    units = np.repeat(np.arange(len(rows)), [len(e) // 13 for e in rows["entries"]])
+    raw = np.frombuffer(b"".join(rows["entries"]), np.uint8).reshape(-1, ENTRY_BYTES)
+    units = np.repeat(np.arange(len(rows)), [len(e) // ENTRY_BYTES for e in rows["entries"]])
     key = _wide(raw, 0, 5)
-    twin = (raw[:, 12] & 0x80) > 0
+    twin = (raw[:, 13] & 0x80) > 0
     order = np.argsort(key)
     near = np.zeros(len(order), bool)
     equal = key[order][1:] == key[order][:-1]
@@ -212,7 +214,7 @@ def _rank(rows: pd.DataFrame) -> pd.DataFrame:
         lone = np.zeros(len(contexts), bool)
         lone[group[first][held < 2]] = True
         shown = first & (contexts[group] >= 2) & lone[group]
-        place = (_wide(raw, 10, 13) & np.uint64(TWIN - 1)).astype(np.uint32)
+        place = (_wide(raw, 10, 14) & np.uint64(TWIN - 1)).astype(np.uint32)
         names = rows["unit"].to_numpy()
         by = np.argsort(units, kind="stable")
         cuts = np.flatnonzero(np.concatenate(([True], units[by][1:] != units[by][:-1])))

@@ -3,6 +3,8 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from replaykit.llm import suffix_dedup
@@ -56,3 +58,17 @@ def test_overlaps_borders_and_crowded_cores(spark, monkeypatch, limit):
 
 def test_empty_table(spark):
     assert suffix_dedup.removals(empty(spark)).count() == 0
+
+
+def test_places_of_a_very_long_text_are_kept():
+    n, place = (1 << 23) + 10, (1 << 23) + 5
+
+    def unit(core):
+        one = np.zeros(1, np.int64)
+        samples = [core, np.zeros(len(core), np.uint64), one + len(core), one, np.zeros(1, np.uint8), one + len(core)]
+        return suffix_dedup._packed([tuple(samples)], 1).to_pandas()
+
+    rows = pd.concat([unit(np.arange(n, dtype=np.uint64)), unit(np.array([place], np.uint64))], ignore_index=True)
+    got = suffix_dedup._rank(rows)
+    found = sorted(p for proven in got["proven"].dropna() for p in np.frombuffer(proven, np.uint32).tolist())
+    assert found == [0, place]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_template, divergence, html_text, language_id, license_scan, merkle, packing, parity_join, poisson_mix, suffix_dedup
+from . import chat_template, divergence, html_text, language_id, license_scan, merkle, packing, parity_join, poisson_mix, suffix_dedup, token_alignment
 from .catalog import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -84,3 +84,8 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return language_id.predicted(docs, language_id.train(docs))
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return token_alignment.aligned(table(spark, sf, "documents"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_template, divergence, html_text, language_id, license_scan, merkle, packing, parity_join, poisson_mix, suffix_dedup, token_alignment
+from . import chat_template, divergence, html_text, language_id, license_scan, merkle, packing, parity_join, poisson_mix, suffix_dedup, token_alignment, turn_repair
 from .catalog import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -89,3 +89,63 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 @query("op11_token_alignment")
 def op11(spark: SparkSession, sf: str) -> DataFrame:
     return token_alignment.aligned(table(spark, sf, "documents"))
+
+
+# The suffixes' least (cost, initials) from each state, from the last turn to the first; one step a turn for all conversations.
+AUDITED = r"""
+WITH RECURSIVE drawn AS (
+  SELECT coalesce(conv_id::VARCHAR, 'n') AS k, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(
+      list_prepend(4294967295, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda ch: ascii(ch)::BIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), [1::BIGINT, 2, 3, 4, 5, 6, 7, 8]), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)
+    ), 4294967295) % 20 AS draw
+  FROM conversations
+), damaged AS (
+  SELECT k, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+    CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE draw WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM drawn
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last_char FROM damaged
+), turns AS (
+  SELECT *, CASE WHEN last_char = '' THEN 1 WHEN row_number() OVER (PARTITION BY k, role, text ORDER BY i) > 1 THEN 2 WHEN last_char NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+    substr(role, 1, 1) AS r, lag(substr(role, 1, 1)) OVER (PARTITION BY k ORDER BY i) AS earlier, count(*) OVER (PARTITION BY k) AS n FROM placed
+), rest AS (
+  SELECT k, n + 1 AS i, {'c': 0, 's': ''} AS v0, {'c': 4, 's': 'II'} AS v1, {'c': 2, 's': 'I'} AS v2, {'c': 0, 's': ''} AS v3 FROM turns GROUP BY k, n
+  UNION ALL
+  SELECT k, i, list_sort([b0, {'c': 2 + w2.c, 's': 'I' || w2.s}])[1], list_sort([b1, {'c': 2 + w2.c, 's': 'I' || w2.s}])[1], w2, w3 FROM (
+    SELECT *, list_sort([b2, {'c': 2 + b3.c, 's': 'I' || b3.s}])[1] AS w2, list_sort([b3, {'c': 2 + b2.c, 's': 'I' || b2.s}])[1] AS w3 FROM (
+      SELECT t.k, t.i,
+        list_sort([{'c': 3 + v0.c, 's': 'D' || v0.s}, {'c': f + e + CASE r WHEN 's' THEN v1.c WHEN 'u' THEN v2.c ELSE 1000000 END, 's': 'K' || CASE r WHEN 's' THEN v1.s ELSE v2.s END}, {'c': f + e + 2 + v2.c, 's': 'R' || v2.s}])[1] AS b0,
+        list_sort([{'c': 3 + v1.c, 's': 'D' || v1.s}, {'c': f + e + CASE r WHEN 'u' THEN v2.c ELSE 1000000 END, 's': 'K' || v2.s}, {'c': f + e + 2 + v2.c, 's': 'R' || v2.s}])[1] AS b1,
+        list_sort([{'c': 3 + v2.c, 's': 'D' || v2.s}, {'c': f + e + CASE r WHEN 'a' THEN v3.c ELSE 1000000 END, 's': 'K' || v3.s}, {'c': f + e + 2 + v3.c, 's': 'R' || v3.s}])[1] AS b2,
+        list_sort([{'c': 3 + v3.c, 's': 'D' || v3.s}, {'c': f + e + CASE r WHEN 'u' THEN v2.c ELSE 1000000 END, 's': 'K' || v2.s}, {'c': f + e + 2 + v2.c, 's': 'R' || v2.s}])[1] AS b3
+      FROM (SELECT *, CASE WHEN fault IN (1, 2) THEN 1000000 ELSE 0 END AS f, CASE WHEN fault = 3 THEN 1 ELSE 0 END AS e FROM turns) t
+      JOIN rest ON rest.k = t.k AND rest.i = t.i + 1
+    )
+  )
+), best AS (
+  SELECT k, v0.c AS cost, v0.s AS audit FROM rest WHERE i = 1
+), letters AS (
+  SELECT k, p, audit[p] AS edit, (SELECT count(*) FROM range(1, p + 1) AS g(j) WHERE audit[j] <> 'I') AS i, (SELECT count(*) FROM range(1, p + 1) AS g(j) WHERE audit[j] <> 'D') AS place
+  FROM best, range(1, length(audit) + 1) AS g(p)
+), shown AS (
+  SELECT l.k, l.p, l.place, l.edit, t.role, CASE WHEN l.edit = 'I' THEN '' ELSE t.text END AS text,
+    max(CASE WHEN l.place = 1 AND l.edit = 'K' AND t.r = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY l.k) AS system
+  FROM letters l LEFT JOIN turns t ON t.k = l.k AND t.i = l.i AND l.edit <> 'I' WHERE l.edit <> 'D'
+), texts AS (
+  SELECT k, string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY p) AS whole FROM shown GROUP BY k
+), figures AS (
+  SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+    count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (i > 1 AND earlier || r NOT IN ('su', 'ua', 'au')) AS illegal FROM turns GROUP BY k
+)
+SELECT DISTINCT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM drawn d LEFT JOIN figures USING (k) LEFT JOIN best USING (k) LEFT JOIN texts USING (k)
+"""
+
+
+@query("op12_turn_repair", AUDITED)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return turn_repair.audited_after_damage(table(spark, sf, "conversations"))

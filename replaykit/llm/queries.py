@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_template, divergence, html_text, language_id, license_scan, merkle, packing, parity_join, poisson_mix, suffix_dedup, token_alignment, turn_repair
+from . import chat_template, divergence, html_text, language_id, license_scan, merkle, packing, parity_join, poisson_mix, secret_scan, suffix_dedup, token_alignment, turn_repair
 from .catalog import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -149,3 +149,44 @@ FROM drawn d LEFT JOIN figures USING (k) LEFT JOIN best USING (k) LEFT JOIN text
 @query("op12_turn_repair", AUDITED)
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     return turn_repair.audited_after_damage(table(spark, sf, "conversations"))
+
+
+# A span starts behind the pieces and matches before it, which the text falls into when it is split at the matches.
+SECRETS = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || source, '') AS owner, coalesce('=' || doc_id, '') AS repository, coalesce(text, '') AS x FROM documents
+), patterns(kind, pattern, grp, least) AS (
+  VALUES (0, '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1, {secret_scan.LEAST_VALUE}),
+    (1, '(AKIA[A-Z0-9]+)', 1, {secret_scan.LEAST_ACCESS}), (2, '([0-9a-f]+)', 1, {secret_scan.LEAST_HEX}), (3, '([A-Za-z0-9+/_-]+)', 1, {secret_scan.LEAST_KEY})
+), cut AS (
+  SELECT rid, kind, least, string_split_regex(x, pattern) AS parts, regexp_extract_all(x, pattern, 0) AS whole, regexp_extract_all(x, pattern, 1) AS val
+  FROM texts, patterns WHERE regexp_matches(x, pattern)
+), ends AS (
+  SELECT rid, kind, least, unnest(whole) AS m, unnest(val) AS v, unnest(list_transform(parts, lambda p: length(p))[:len(whole)]) AS gap, generate_subscripts(whole, 1) AS k FROM cut
+), spans AS (
+  SELECT rid, kind, least, v, (sum(gap + length(m)) OVER w - length(m))::BIGINT AS s, (sum(gap + length(m)) OVER w)::BIGINT AS e
+  FROM ends WINDOW w AS (PARTITION BY rid, kind ORDER BY k)
+), long AS (
+  SELECT * FROM spans WHERE length(v) >= least
+), base AS (
+  SELECT rid, kind, v, s, e FROM long WHERE kind < 3
+), found AS (
+  SELECT * FROM base UNION ALL
+  SELECT rid, kind, v, s, e FROM long r WHERE kind = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]')
+    AND len(list_distinct(string_split(v, ''))) >= {secret_scan.LEAST_DIFFERENT} AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = r.rid AND b.s < r.e AND b.e > r.s)
+), held AS (
+  SELECT v, count(DISTINCT owner) AS owners FROM found JOIN texts USING (rid) GROUP BY v
+), judged AS (
+  SELECT f.*, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || s || ':' || e AS shown, CASE WHEN owners >= {secret_scan.EXAMPLE_OWNERS} THEN 'example' WHEN owners = 1 THEN 'live' ELSE 'shared' END AS verdict
+  FROM found f JOIN held USING (v)
+)
+SELECT t.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+  sha256(coalesce(string_agg(shown, ',' ORDER BY s, kind) FILTER (kind < 3), '')) AS base_sha256, coalesce(string_agg(shown, ',' ORDER BY s, kind), '') AS spans,
+  count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'shared') AS n_shared, count(*) FILTER (verdict = 'example') AS n_example
+FROM texts t LEFT JOIN (SELECT * FROM judged WHERE kind < 3 OR verdict = 'live') j USING (rid) GROUP BY t.rid, t.doc_id
+"""
+
+
+@query("op13_secret_scan", SECRETS)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.summary(table(spark, sf, "documents"))

@@ -2,9 +2,9 @@
 
 Layout of a delivery root: ``<root>/<source_object>/[delivery_date=<iso>/]<file>.csv``.
 
-Files are judged line by line with the text reader, which splits large files
-over many tasks.  Only files whose quoted fields span lines need Spark's
-whole-file CSV mode; ``line_safe`` tells them apart exactly.
+Files are judged in one scan of their lines, block by block, which splits large files
+over many tasks (``blocks``).  Sources whose quoted fields span lines are read by the same blocks; the others
+need no more than Spark's CSV reader in line mode.  ``line_safe`` tells them apart.
 """
 
 from __future__ import annotations
@@ -16,14 +16,9 @@ from pyspark.sql import types as T
 from ..functions.headers import header_columns, missing_columns
 from ..functions.paths import file_name, has_csv_suffix
 from ..session import written_table
+from .blocks import block_facts, file_key, joined_records, per_file, records
 from .registry import columns_of, with_registry
 
-# A line whose fields are all either free of quotes or quoted from end to end.
-# Such a line is one whole record when parsed from its start.  Possessive
-# quantifiers keep long fields from backtracking.
-_WHOLE_FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
-_WHOLE_LINE = rf"^{_WHOLE_FIELD}(?:,{_WHOLE_FIELD})*+$"
-
 _CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "inferSchema": "false", "mode": "PERMISSIVE"}
 
 
@@ -79,58 +74,15 @@ def file_checks(expected: DataFrame, listing: DataFrame) -> DataFrame:
     return joined.withColumn("file_check", check).drop("is_folder")
 
 
-def is_whole_record(line: Column) -> Column:
-    """Whether the line reader keeps this line as the record that it is.
-
-    Spark's line mode drops lines of white space, which are records of one
-    field, so a file with such a line is parsed whole.
-    """
-    return (~line.contains('"') | line.rlike(_WHOLE_LINE)) & ((line == "") | line.rlike(r"[^\x00-\x20]"))
-
-
-def _lines(spark: SparkSession, root: str) -> DataFrame:
-    reader = spark.read.option("recursiveFileLookup", "true")
-    return reader.text(root).select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-    )
-
-
-def line_facts(spark: SparkSession, root: str) -> DataFrame:
-    """UTF-8 validity, line safety and non-empty line count per file, in one hash aggregate."""
-    value = F.col("value")
-    return (
-        _lines(spark, root)
-        .groupBy("path")
-        .agg(
-            F.bool_and(F.is_valid_utf8(value)).alias("valid_utf8"),
-            F.bool_and(is_whole_record(value)).alias("line_safe"),
-            F.count_if(value != "").alias("n_lines"),
-        )
-    )
-
-
-def header_lines(spark: SparkSession, root: str) -> DataFrame:
-    """First line of each file.  Only first blocks take part, rows of a block keep their order."""
-    first_block = _lines(spark, root).filter(F.col("block_start") == 0)
-    positioned = first_block.withColumn("position", F.monotonically_increasing_id())
-    return positioned.groupBy("path").agg(F.min_by("value", "position").alias("header_line"))
-
-
 def file_facts(spark: SparkSession, root: str) -> DataFrame:
     """One row per listed file with everything the contracts need, computed once.
 
     Every later check reads this small table instead of the files.  Zero-byte
-    files have no lines and hence null facts.
+    files have no lines and hence null facts.  ``n_records`` counts the header too.
     """
-    facts = (
-        list_files(spark, root)
-        .join(line_facts(spark, root), "path", "left")
-        .join(header_lines(spark, root), "path", "left")
-        .withColumn("header", header_columns(F.coalesce("header_line", F.lit(""))))
-    )
-    return written_table(facts, "file-facts")
+    listed = list_files(spark, root).withColumn("file_key", file_key(F.col("path")))
+    facts = listed.join(per_file(block_facts(spark, root)), "file_key", "left").drop("file_key")
+    return written_table(facts.withColumn("header", header_columns(F.coalesce("header_line", F.lit("")))), "file-facts")
 
 
 def header_contract(files: DataFrame, required: str = "required_columns") -> DataFrame:
@@ -148,29 +100,22 @@ def header_contract(files: DataFrame, required: str = "required_columns") -> Dat
     )
 
 
-def _multiline_paths(facts: DataFrame) -> list[str]:
-    """Files that cannot be read by line; Spark's file index holds these names on the driver as well."""
-    unsafe = facts.filter(~F.col("line_safe")).select("path")
-    return sorted(row.path for row in unsafe.collect())
+def _by_line(spark: SparkSession, root: str, width: int) -> DataFrame:
+    """Positional text columns of files without records over several lines, the first line of each dropped."""
+    reader = spark.read.options(**_CSV_OPTIONS, recursiveFileLookup="true").schema(_positional(width))
+    return reader.csv(root).select("*", F.col("_metadata.file_path").alias("path"))
 
 
-def _csv_rows(spark: SparkSession, root: str, width: int, multiline: bool, keep: Column | None = None) -> DataFrame:
-    """Positional text columns of the kept files, the first line of each dropped."""
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-    reader = spark.read.options(**_CSV_OPTIONS, recursiveFileLookup="true", multiLine=str(multiline).lower())
-    rows = reader.schema(schema).csv(root)
-    kept = rows if keep is None else rows.filter(keep)
-    return kept.select("*", F.col("_metadata.file_path").alias("path"))
+def _by_block(spark: SparkSession, root: str, width: int, facts: DataFrame) -> DataFrame:
+    """The same where quoted fields span lines.  Records are written once, as those that cross blocks are put together behind the scan."""
+    whole = joined_records(written_table(records(spark, root, facts), "records"))
+    schema = ", ".join(f"_c{i} string" for i in range(width))
+    parsed = F.from_csv("record", schema, {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"})
+    return whole.select(parsed.alias("x"), "path").select("x.*", "path")
 
 
-def _positional_rows(spark: SparkSession, root: str, width: int, facts: DataFrame) -> DataFrame:
-    paths = _multiline_paths(facts)
-    if not paths:
-        return _csv_rows(spark, root, width, False)
-    # A filter on the file path prunes whole files, so each file is read once.
-    listed = F.col("_metadata.file_path").isin(paths)
-    single = _csv_rows(spark, root, width, False, ~listed)
-    return single.unionByName(_csv_rows(spark, root, width, True, listed))
+def _positional(width: int) -> T.StructType:
+    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
 
 
 def scan_csv(spark: SparkSession, root: str, source_object: str, facts: DataFrame | None = None) -> DataFrame:
@@ -182,10 +127,11 @@ def scan_csv(spark: SparkSession, root: str, source_object: str, facts: DataFram
     """
     facts = file_facts(spark, root) if facts is None else facts
     names = columns_of(source_object)
-    shape = facts.agg(F.max(F.size("header")).alias("width"), F.countDistinct("header_line").alias("layouts"))
-    width, layouts = shape.first()
-    rows = _positional_rows(spark, root, max(width or 0, 1), facts)
-    values = F.array(*[F.col(f"_c{i}") for i in range(max(width or 0, 1))])
+    shape = facts.agg(F.max(F.size("header")), F.countDistinct("header_line"), F.bool_and("line_safe"))
+    width, layouts, by_line = shape.first()
+    width = max(width or 0, 1)
+    rows = _by_block(spark, root, width, facts) if by_line is False else _by_line(spark, root, width)
+    values = F.array(*[F.col(f"_c{i}") for i in range(width)])
 
     if layouts == 1:
         header = facts.filter(F.size("header") > 0).select("header").first().header
@@ -211,23 +157,10 @@ def scan_csv(spark: SparkSession, root: str, source_object: str, facts: DataFram
 
 
 def record_counts(spark: SparkSession, root: str, facts: DataFrame | None = None) -> DataFrame:
-    """Logical records of every listed file, header-only and empty files included as 0.
+    """Logical records of every listed file without its header, header-only and empty files included as 0.
 
-    Line-safe files need no CSV parsing: their records are their non-empty
-    lines but the first.  A quoted field over several lines counts once.
+    They are counted with the facts, so no file is read again.  A quoted field over several lines counts once.
     """
     facts = file_facts(spark, root) if facts is None else facts
-    by_line = facts.withColumn(
-        "record_count", F.greatest(F.coalesce("n_lines", F.lit(0)) - 1, F.lit(0)).cast("bigint")
-    )
-    paths = _multiline_paths(facts)
-    if not paths:
-        return by_line
-    keep = F.col("_metadata.file_path").isin(paths)
-    parsed = _csv_rows(spark, root, 1, True, keep).select("path")
-    counted = parsed.groupBy("path").agg(F.count(F.lit(1)).alias("parsed_count"))
-    joined = by_line.join(counted, "path", "left")
-    multi = F.coalesce("parsed_count", F.lit(0).cast("bigint"))
-    return joined.withColumn(
-        "record_count", F.when(~F.col("line_safe"), multi).otherwise(F.col("record_count"))
-    ).drop("parsed_count")
+    headers = F.when(F.col("header_line") != "", 1).otherwise(0)
+    return facts.withColumn("record_count", F.greatest(F.coalesce("n_records", F.lit(0)) - headers, F.lit(0)).cast("bigint"))

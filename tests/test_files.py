@@ -6,10 +6,12 @@ import csv
 import datetime as dt
 import hashlib
 import io
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from replaykit.sources import blocks
 from replaykit.sources import deliveries as d
 from replaykit.sources.landing import checksums, ingestion_outcomes, landing_conflicts
 from replaykit.sources.registry import columns_of, raw_schema, with_registry
@@ -85,18 +87,70 @@ def test_scan_of_lacking_column_fails(spark, tmp_path):
         d.scan_csv(spark, str(folder), "sellers").collect()
 
 
-def test_line_safety_is_exact(spark):
-    safe = ["", "a,b", '"a","b,c"', 'a,"b ""q"" c"', '""', ",,"]
-    unsafe = ['a,"b', 'a"b,c', '"a"b', 'b"', 'a"b,"c']
-    df = spark.createDataFrame([(s,) for s in safe + unsafe], "line string")
-    got = {r.line: r.ok for r in df.select("line", d.is_whole_record(F.col("line")).alias("ok")).collect()}
-    assert got == {**{s: True for s in safe}, **{s: False for s in unsafe}}
+def python_records(body: str) -> list[list[str]]:
+    return [r for r in csv.reader(io.StringIO(body, newline="")) if r]
 
 
-def test_long_quoted_line(spark):
-    line = 'a,"' + 'x""' * 200_000 + '"'
-    df = spark.createDataFrame([(line,)], "line string")
-    assert df.select(d.is_whole_record(F.col("line"))).first()[0] is True
+HARD_PIECES = ['a', ',', '"', '""', '\n', '\r\n', '\r', 'b c', ',"', '",', ' ', '\n', ',,', '"x\ny"', 'é']
+
+
+def test_walk_finds_the_records_of_python():
+    rng = random.Random(1)
+    for _ in range(3000):
+        body = "".join(rng.choice(HARD_PIECES) for _ in range(rng.randint(1, 14)))
+        found, inside, part = [], False, []
+        for line in body.encode().split(b"\n"):
+            pieces, ends = blocks.walk(line, inside)
+            for k, piece in enumerate(pieces):
+                part = [*part, piece] if inside and k == 0 else [piece]
+                if not (ends and k == len(pieces) - 1):
+                    found.append(b"\n".join(part))
+            inside = ends
+        if inside:
+            found.append(b"\n".join(part))
+        assert len([r for r in found if r]) == len(python_records(body)), repr(body)
+
+
+@pytest.mark.parametrize("size", [60, 97, 1000])
+def test_records_over_block_edges(spark, tmp_path, size):
+    """Blocks of a few bytes, so that nearly every record crosses one, against Python's reader."""
+    folder = tmp_path / "sellers"
+    folder.mkdir()
+    rng, expected = random.Random(size), []
+    for n in range(2):
+        out = io.StringIO(newline="")
+        writer = csv.writer(out, lineterminator=rng.choice(["\n", "\r\n"]))
+        writer.writerow(columns_of("sellers"))
+        for k in range(25):
+            field = "".join(rng.choice(["city", "\n", "\r\n", '"', ", ", "x" * 50, "é", ""]) for _ in range(rng.randint(0, 5)))
+            row = (f"{n}-{k}", "01310", field, rng.choice(["SP", "a\nb"]))
+            writer.writerow(row)
+            expected.append(row)
+        (folder / f"{n}.csv").write_bytes(out.getvalue().encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        facts = d.file_facts(spark, str(folder))
+        assert facts.agg(F.sum(F.size("carried"))).first()[0] > (10 if size < 100 else 0)
+        assert rows(d.scan_csv(spark, str(folder), "sellers", facts), *columns_of("sellers")) == sorted(expected, key=repr)
+        assert d.record_counts(spark, str(folder), facts).agg(F.sum("record_count")).first()[0] == len(expected)
+        monkey = blocks.SENT_BLOCKS
+        blocks.SENT_BLOCKS = -1
+        try:
+            assert rows(d.scan_csv(spark, str(folder), "sellers", facts), *columns_of("sellers")) == sorted(expected, key=repr)
+        finally:
+            blocks.SENT_BLOCKS = monkey
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_facts_come_from_one_scan_without_a_sort_or_a_path_list(spark, root):
+    plan = blocks.block_facts(spark, str(root))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Sort" not in plan and "Exchange" not in plan and "plain.csv" not in plan
+    facts = d.file_facts(spark, str(root))
+    plan = d.scan_csv(spark, str(root), "sellers", facts)._jdf.queryExecution().analyzed().toString()
+    assert "multiline.csv" not in plan
 
 
 def test_a_split_file_is_read_like_a_whole_one(spark, tmp_path):
@@ -107,7 +161,7 @@ def test_a_split_file_is_read_like_a_whole_one(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
         facts = d.file_facts(spark, str(folder))
-        assert rows(facts, "header_line", "n_lines", "valid_utf8") == [(HEADER, 20_001, True)]
+        assert rows(facts, "header_line", "n_records", "valid_utf8", "line_safe") == [(HEADER, 20_001, True, True)]
         scanned = d.scan_csv(spark, str(folder), "sellers", facts)
         assert scanned.rdd.getNumPartitions() > 5
         assert scanned.count() == 20_000 and scanned.select("seller_id").distinct().count() == 20_000

@@ -1,12 +1,15 @@
-"""The eight raw sources in full shape, delivered by month, for files and table writes.
+"""The eight raw sources in full shape, delivered by period, for files and table writes.
 
-The delivery date of a row is the first day of its month, which keeps the number
-of folders reasonable on one machine; nothing in the library depends on it.
+With REPLAYKIT_CADENCE=day every business day is a delivery of its own.  By default the days of a month are delivered together
+under its first day, because creating files takes the local file system of these runs tens of milliseconds each (figures in the README); the
+library works by day and nothing in it depends on the period.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replaykit.operators.slicing import slice_by_parent
@@ -17,6 +20,17 @@ from .delivery_queries import money, raw_items
 from .sqltext import cte
 
 
+BY_DAY = os.environ.get("REPLAYKIT_CADENCE", "month") == "day"
+
+
+def period(day: Column) -> Column:
+    return day.cast("date") if BY_DAY else F.trunc(day, "month")
+
+
+def period_sql(day: str) -> str:
+    return f"CAST({day} AS DATE)" if BY_DAY else f"CAST(date_trunc('month', {day}) AS DATE)"
+
+
 def filled(df: DataFrame, source: str, *extra: str) -> DataFrame:
     """All registry columns, those without a counterpart empty."""
     have = set(df.columns)
@@ -24,24 +38,24 @@ def filled(df: DataFrame, source: str, *extra: str) -> DataFrame:
     return df.select(*columns, *extra)
 
 
-def month_orders(spark: SparkSession, sf: str) -> DataFrame:
+def delivered_orders(spark: SparkSession, sf: str) -> DataFrame:
     orders = b.table(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("o_orderstatus").alias("order_status"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_purchase_timestamp"),
         F.date_format(F.date_add("o_orderdate", 30), "yyyy-MM-dd").alias("order_estimated_delivery_date"),
-        F.trunc("o_orderdate", "month").alias("delivery_date"),
+        period(F.col("o_orderdate")).alias("delivery_date"),
     )
     return filled(orders, "orders", "delivery_date")
 
 
-def month_items(spark: SparkSession, sf: str) -> DataFrame:
-    items = slice_by_parent(raw_items(spark, sf), month_orders(spark, sf))
+def delivered_items(spark: SparkSession, sf: str) -> DataFrame:
+    items = slice_by_parent(raw_items(spark, sf), delivered_orders(spark, sf))
     return filled(items, "order_items", "delivery_date")
 
 
-def month_payments(spark: SparkSession, sf: str) -> DataFrame:
+def delivered_payments(spark: SparkSession, sf: str) -> DataFrame:
     payments = b.table(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.lit("1").alias("payment_sequential"),
@@ -49,10 +63,10 @@ def month_payments(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("1").alias("payment_installments"),
         money("o_totalprice").alias("payment_value"),
     )
-    return filled(slice_by_parent(payments, month_orders(spark, sf)), "payments", "delivery_date")
+    return filled(slice_by_parent(payments, delivered_orders(spark, sf)), "payments", "delivery_date")
 
 
-def month_reviews(spark: SparkSession, sf: str) -> DataFrame:
+def delivered_reviews(spark: SparkSession, sf: str) -> DataFrame:
     """A review per order up to 39 days later, its comment over two lines for every ninth."""
     k = F.col("o_orderkey")
     created = F.date_add("o_orderdate", (k % 40).cast("int"))
@@ -62,17 +76,17 @@ def month_reviews(spark: SparkSession, sf: str) -> DataFrame:
         (k % 5 + 1).cast("string").alias("review_score"),
         F.when(k % 9 == 0, 'fine, "really"\nfine').otherwise("").alias("review_comment_message"),
         F.date_format(created, "yyyy-MM-dd").alias("review_creation_date"),
-        F.trunc(created, "month").alias("delivery_date"),
+        period(created).alias("delivery_date"),
     )
     return filled(reviews, "reviews", "delivery_date")
 
 
 def daily_rows(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {
-        "orders": month_orders(spark, sf),
-        "order_items": month_items(spark, sf),
-        "payments": month_payments(spark, sf),
-        "reviews": month_reviews(spark, sf),
+        "orders": delivered_orders(spark, sf),
+        "order_items": delivered_items(spark, sf),
+        "payments": delivered_payments(spark, sf),
+        "reviews": delivered_reviews(spark, sf),
     }
 
 
@@ -130,32 +144,32 @@ def master_rows(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     }
 
 
-cte("month_orders", """
+cte("delivered_orders", f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id, o_orderstatus AS order_status,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS order_purchase_timestamp, '' AS order_approved_at,
        '' AS order_delivered_carrier_date, '' AS order_delivered_customer_date,
        strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d') AS order_estimated_delivery_date,
-       CAST(date_trunc('month', o_orderdate) AS DATE) AS delivery_date, o_orderkey AS k
+       {period_sql('o_orderdate')} AS delivery_date, o_orderkey AS k
 FROM orders
 """)
-cte("month_items", """
+cte("delivered_items", f"""
 SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS order_item_id,
        CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id, '' AS shipping_limit_date,
        CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS VARCHAR) AS price, '' AS freight_value,
-       CAST(date_trunc('month', o_orderdate) AS DATE) AS delivery_date
+       {period_sql('o_orderdate')} AS delivery_date
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey
 """)
-cte("month_payments", """
+cte("delivered_payments", f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS order_id, '1' AS payment_sequential, o_orderpriority AS payment_type,
        '1' AS payment_installments, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS payment_value,
-       CAST(date_trunc('month', o_orderdate) AS DATE) AS delivery_date
+       {period_sql('o_orderdate')} AS delivery_date
 FROM orders
 """)
-cte("month_reviews", """
+cte("delivered_reviews", f"""
 SELECT 'r' || o_orderkey AS review_id, CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_orderkey % 5 + 1 AS VARCHAR) AS review_score,
        '' AS review_comment_title, CASE WHEN o_orderkey % 9 = 0 THEN 'fine, "really"' || chr(10) || 'fine' ELSE '' END AS review_comment_message,
        strftime(created, '%Y-%m-%d') AS review_creation_date, '' AS review_answer_timestamp,
-       CAST(date_trunc('month', created) AS DATE) AS delivery_date
+       {period_sql('created')} AS delivery_date
 FROM (SELECT *, o_orderdate + to_days(CAST(o_orderkey % 40 AS INTEGER)) AS created FROM orders)
 """)
 cte("raw_customers", """
@@ -182,12 +196,36 @@ SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS geolocation_zip_code_prefix
 FROM customer JOIN nation ON c_nationkey = n_nationkey
 """)
 RAW_SQL = {
-    "orders": "month_orders",
-    "order_items": "month_items",
-    "payments": "month_payments",
-    "reviews": "month_reviews",
+    "orders": "delivered_orders",
+    "order_items": "delivered_items",
+    "payments": "delivered_payments",
+    "reviews": "delivered_reviews",
     "customers": "raw_customers",
     "products": "raw_products",
     "sellers": "raw_sellers",
     "geolocations": "raw_geolocations",
 }
+
+
+WIDEST = max(len(columns_of(s)) for s in RAW_SQL)
+
+
+def stacked(parts: dict[str, DataFrame], *extra: str) -> DataFrame:
+    """All columns of several sources under one set of names."""
+    united = None
+    for source, rows in parts.items():
+        names = columns_of(source)
+        cells = [F.col(names[i]) if i < len(names) else F.lit("") for i in range(WIDEST)]
+        part = rows.select(F.lit(source).alias("source_object"), *[c.alias(f"c{i + 1}") for i, c in enumerate(cells)], *extra)
+        united = part if united is None else united.unionByName(part)
+    return united
+
+
+def stacked_sql(tables: dict[str, str], *extra: str) -> str:
+    """The same in SQL, over the named tables."""
+    parts = []
+    for source, name in tables.items():
+        names = columns_of(source)
+        cells = [f"{names[i] if i < len(names) else chr(39) * 2} AS c{i + 1}" for i in range(WIDEST)]
+        parts.append(f"SELECT '{source}' AS source_object, {', '.join([*cells, *extra])} FROM {name}")
+    return " UNION ALL ".join(parts)

@@ -10,14 +10,14 @@ from replaykit.session import shared_dir
 from replaykit.operators.runs import PHASES
 from replaykit.sources import deliveries as d
 from replaykit.sources.landing import checksums, ingestion_outcomes, landing_conflicts, landing_manifest
-from replaykit.sources.registry import columns_of
 
 from . import bindings as b
 from .catalog import query
-from .monthly import RAW_SQL, daily_rows, master_rows
+from .daily import RAW_SQL, daily_rows, master_rows, stacked, stacked_sql
 from .sqltext import sql
 
 _WRITTEN: dict[tuple[str, str], str] = {}
+COMPLETE = "-complete"
 CSV = {"header": "true", "quote": '"', "escape": '"', "emptyValue": ""}
 
 
@@ -38,6 +38,8 @@ def delivered_root(spark: SparkSession, sf: str) -> str:
     for source, rows in master_rows(spark, sf).items():
         kept = rows.drop("product_width_cm")
         kept.write.options(**CSV).csv(f"{root}/{source}")
+        if source == "products":
+            rows.write.options(**CSV).csv(f"{root}{COMPLETE}/{source}")
     for source, rows in daily_rows(spark, sf).items():
         if source != "reviews":
             _write_days(rows, f"{root}/{source}")
@@ -51,27 +53,14 @@ def delivered_root(spark: SparkSession, sf: str) -> str:
     return root
 
 
-@query("raw_csv_scan", sql(f"""
-SELECT 'customers' AS source_object, customer_id AS c1, customer_unique_id AS c2, customer_zip_code_prefix AS c3,
-       customer_city AS c4, customer_state AS c5 FROM raw_customers
-UNION ALL SELECT 'order_items', order_id, order_item_id, product_id, seller_id, price FROM month_items
-UNION ALL SELECT 'reviews', order_id, review_score, review_comment_title, review_comment_message, review_creation_date
-FROM month_reviews
-""", "raw_customers", "month_items", "month_reviews"))
+_SCANNED = {**RAW_SQL, "reviews": "(SELECT * REPLACE (CASE WHEN extract(month FROM delivery_date) = 1 THEN chr(65533) ELSE '' END || review_id AS review_id) FROM delivered_reviews)"}
+
+
+@query("raw_csv_scan", sql(stacked_sql(_SCANNED), *RAW_SQL.values()))
 def raw_csv_scan(spark, sf):
+    """All columns of all eight sources; products come from a delivery that has all of them."""
     root = delivered_root(spark, sf)
-    picked = {
-        "customers": columns_of("customers"),
-        "order_items": ("order_id", "order_item_id", "product_id", "seller_id", "price"),
-        "reviews": ("order_id", "review_score", "review_comment_title", "review_comment_message", "review_creation_date"),
-    }
-    united = None
-    for source, names in picked.items():
-        rows = d.scan_csv(spark, f"{root}/{source}", source).select(
-            F.lit(source).alias("source_object"), *[F.col(n).alias(f"c{i + 1}") for i, n in enumerate(names)]
-        )
-        united = rows if united is None else united.unionByName(rows)
-    return united
+    return stacked({s: d.scan_csv(spark, f"{root}{COMPLETE if s == 'products' else ''}/{s}", s) for s in RAW_SQL})
 
 
 def _per_delivery(files: DataFrame, *aggregates) -> DataFrame:
@@ -79,7 +68,7 @@ def _per_delivery(files: DataFrame, *aggregates) -> DataFrame:
 
 
 _COUNTS = " UNION ALL ".join(
-    f"SELECT '{s}' AS source_object, {'delivery_date' if t.startswith('month') else 'CAST(NULL AS DATE)'} AS delivery_date, "
+    f"SELECT '{s}' AS source_object, {'delivery_date' if t.startswith('delivered') else 'CAST(NULL AS DATE)'} AS delivery_date, "
     f"count(*) AS record_count FROM {t} GROUP BY 1, 2"
     for s, t in RAW_SQL.items()
 )

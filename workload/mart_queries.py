@@ -9,7 +9,7 @@ from replaykit.plans.marts import measures, model, quality, staging
 from . import bindings as b
 from .catalog import query
 from .delivery_queries import money, raw_items
-from .monthly import filled, raw_customers, raw_geolocations, raw_products, raw_sellers
+from .daily import filled, raw_customers, raw_geolocations, raw_products, raw_sellers
 from .sqltext import cte, sql
 
 STATUS = {"F": "delivered", "O": "shipped", "P": "canceled"}

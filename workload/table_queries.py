@@ -16,11 +16,11 @@ from replaykit.plans.initial import initial_load
 from replaykit.plans.replay import replay_range
 from replaykit.session import shared_dir
 from replaykit.sources import tables
-from replaykit.sources.registry import DAILY_SOURCES, columns_of, with_registry
+from replaykit.sources.registry import DAILY_SOURCES, MASTER_SOURCES, columns_of, with_registry
 
 from . import bindings as b
 from .catalog import query
-from .monthly import RAW_SQL, daily_rows, master_rows, month_orders
+from .daily import BY_DAY, RAW_SQL, daily_rows, master_rows, period, period_sql, stacked, stacked_sql
 from .sqltext import cte, sql
 
 RUN_CLOCK = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
@@ -32,32 +32,12 @@ def fresh_database(spark: SparkSession) -> str:
     return name
 
 
-_MASTERS = " UNION ALL ".join(
-    f"SELECT '{s}' AS source_object, {a} AS c1, {z} AS c2 FROM {RAW_SQL[s]}"
-    for s, a, z in (
-        ("customers", "customer_id", "customer_city"),
-        ("products", "product_id", "product_weight_g"),
-        ("sellers", "seller_id", "seller_state"),
-        ("geolocations", "geolocation_zip_code_prefix", "geolocation_lng"),
-    )
-)
-_MASTER_CTES = ("raw_customers", "raw_products", "raw_sellers", "raw_geolocations")
-_MASTER_COLUMNS = {
-    "customers": ("customer_id", "customer_city"),
-    "products": ("product_id", "product_weight_g"),
-    "sellers": ("seller_id", "seller_state"),
-    "geolocations": ("geolocation_zip_code_prefix", "geolocation_lng"),
-}
+_MASTERS = stacked_sql({s: RAW_SQL[s] for s in MASTER_SOURCES})
+_MASTER_CTES = tuple(RAW_SQL[s] for s in MASTER_SOURCES)
 
 
 def _stacked(spark, names: dict[str, str]) -> DataFrame:
-    united = None
-    for source, (first, second) in _MASTER_COLUMNS.items():
-        part = spark.table(names[source]).select(
-            F.lit(source).alias("source_object"), F.col(first).alias("c1"), F.col(second).alias("c2")
-        )
-        united = part if united is None else united.unionByName(part)
-    return united
+    return stacked({source: spark.table(name) for source, name in names.items()})
 
 
 @query("master_full_load", sql(_MASTERS, *_MASTER_CTES))
@@ -85,45 +65,60 @@ def raw_master_replace(spark, sf):
     return _stacked(spark, names)
 
 
-def replaced_orders(spark, sf) -> str:
-    """All months loaded, then every fifth replayed changed and every seventh with zero rows, twice."""
+# by number of the day or of the month, in words that both engines understand
+_NUMBER = "(extract(year FROM delivery_date) * 372 + extract(month FROM delivery_date) * 31 + extract(day FROM delivery_date))" if BY_DAY else "(extract(year FROM delivery_date) * 12 + extract(month FROM delivery_date))"
+EMPTIED, CHANGED = f"{_NUMBER} % 7 = 0", f"{_NUMBER} % 5 = 0"
+
+
+def replaced_days(spark, sf) -> str:
+    """All days of the daily sources loaded, then every fifth replayed changed and every seventh with zero rows, twice."""
     database = fresh_database(spark)
-    rows = month_orders(spark, sf)
-    tables.replace_partitions(rows, database, "orders", rows)
-    month_no = F.year("delivery_date") * 12 + F.month("delivery_date")
-    emptied, changed = month_no % 7 == 0, month_no % 5 == 0
-    replayed_days = rows.filter(emptied | changed).select("delivery_date").distinct()
-    replay = rows.filter(changed & ~emptied).withColumn("order_status", F.lit("X"))
-    for _ in range(2):
-        tables.replace_partitions(replay, database, "orders", replayed_days)
+    emptied, changed = F.expr(EMPTIED), F.expr(CHANGED)
+    for source, rows in daily_rows(spark, sf).items():
+        tables.replace_partitions(rows, database, source, rows)
+        replayed = rows.filter(emptied | changed).select("delivery_date").distinct()
+        last = columns_of(source)[-1]
+        replay = rows.filter(changed & ~emptied).withColumn(last, F.concat(F.lit("X"), last))
+        for _ in range(2):
+            tables.replace_partitions(replay, database, source, replayed)
     return database
 
 
-cte("replaced_orders", """
-SELECT * REPLACE (CASE WHEN m % 5 = 0 THEN 'X' ELSE order_status END AS order_status)
-FROM (SELECT *, extract(year FROM delivery_date) * 12 + extract(month FROM delivery_date) AS m FROM month_orders)
-WHERE m % 7 <> 0
+_DAILY_SQL = {s: RAW_SQL[s] for s in DAILY_SOURCES}
+for _source, _name in _DAILY_SQL.items():
+    _last = columns_of(_source)[-1]
+    cte(f"replaced_{_source}", f"""
+SELECT * REPLACE (CASE WHEN {CHANGED} THEN 'X' ELSE '' END || {_last} AS {_last}) FROM {_name} WHERE NOT ({EMPTIED})
 """)
+_REPLACED = {s: f"replaced_{s}" for s in DAILY_SOURCES}
+_REPLACED_CTES = (*_DAILY_SQL.values(), *_REPLACED.values())
 
 
-@query("raw_partition_replace", sql(f"""
-SELECT {', '.join(columns_of('orders'))}, delivery_date FROM replaced_orders
-""", "month_orders", "replaced_orders"))
+@query("raw_partition_replace", sql(stacked_sql(_REPLACED, "delivery_date"), *_REPLACED_CTES))
 def raw_partition_replace(spark, sf):
-    return spark.table(f"{replaced_orders(spark, sf)}.orders")
+    database = replaced_days(spark, sf)
+    return stacked({s: spark.table(f"{database}.{s}") for s in DAILY_SOURCES}, "delivery_date")
 
 
-@query("load_results", sql("""
-SELECT 'orders' AS source_object, 'gs://bucket/orders.csv' AS source_uri, 'db.raw.orders$' || strftime(d.delivery_date, '%Y%m%d') AS destination,
-       d.delivery_date AS partition_date, count(r.k) AS output_rows, 'job-1' AS job_id
-FROM (SELECT DISTINCT delivery_date FROM month_orders) d LEFT JOIN replaced_orders r USING (delivery_date) GROUP BY d.delivery_date
-""", "month_orders", "replaced_orders"))
+_RESULTS = " UNION ALL ".join(f"""
+SELECT '{s}' AS source_object, 'gs://bucket/{s}.csv' AS source_uri, 'db.raw.{s}$' || strftime(d.delivery_date, '%Y%m%d') AS destination,
+       d.delivery_date AS partition_date, count(r.order_id) AS output_rows, 'job-1' AS job_id
+FROM (SELECT DISTINCT delivery_date FROM {_DAILY_SQL[s]}) d LEFT JOIN {_REPLACED[s]} r USING (delivery_date) GROUP BY d.delivery_date
+""" for s in DAILY_SOURCES)
+
+
+@query("load_results", sql(_RESULTS, *_REPLACED_CTES))
 def load_results(spark, sf):
-    database = replaced_orders(spark, sf)
-    listed = tables.registered_partitions(spark, database, "orders")
-    expected = listed.select("source_object", F.col("partition_date").alias("delivery_date"))
-    counts = tables.partition_counts(spark, database, "orders")
-    return tables.load_results(expected, counts, b.DATASET, F.lit("gs://bucket/orders.csv"), "job-1")
+    database = replaced_days(spark, sf)
+    expected, counts = None, None
+    for source in DAILY_SOURCES:
+        listed = tables.registered_partitions(spark, database, source)
+        counted = tables.partition_counts(spark, database, source)
+        expected = listed if expected is None else expected.unionByName(listed)
+        counts = counted if counts is None else counts.unionByName(counted)
+    expected = expected.withColumnRenamed("partition_date", "delivery_date")
+    uri = F.concat(F.lit("gs://bucket/"), "source_object", F.lit(".csv"))
+    return tables.load_results(expected, counts, b.DATASET, uri, "job-1")
 
 
 @query("append_events", sql("""
@@ -140,19 +135,19 @@ def append_events(spark, sf):
     return spark.table(f"{database}.replay_events")
 
 
-def _monthly(df: DataFrame) -> DataFrame:
-    return df.withColumn("delivery_date", F.trunc("delivery_date", "month"))
+def _placed(df: DataFrame) -> DataFrame:
+    return df.withColumn("delivery_date", period(F.col("delivery_date")))
 
 
-@query("append_provenance", sql("""
-SELECT 'artifact' AS ledger, provenance_id AS row_id, CAST(date_trunc('month', delivery_date) AS DATE) AS delivery_date, recorded_at FROM artifacts
-UNION ALL SELECT 'load', load_id, CAST(date_trunc('month', delivery_date) AS DATE), recorded_at FROM loads
+@query("append_provenance", sql(f"""
+SELECT 'artifact' AS ledger, provenance_id AS row_id, {period_sql("delivery_date")} AS delivery_date, recorded_at FROM artifacts
+UNION ALL SELECT 'load', load_id, {period_sql("delivery_date")}, recorded_at FROM loads
 """, "jobs", "job_facts", "artifacts", "loads"))
 def append_provenance(spark, sf):
     database = fresh_database(spark)
     for _ in range(2):
-        tables.append_ledger(_monthly(b.artifacts(spark, sf)), database, "artifact_provenance")
-        tables.append_ledger(_monthly(b.loads(spark, sf)), database, "load_provenance")
+        tables.append_ledger(_placed(b.artifacts(spark, sf)), database, "artifact_provenance")
+        tables.append_ledger(_placed(b.loads(spark, sf)), database, "load_provenance")
     artifact = spark.table(f"{database}.artifact_provenance").select(
         F.lit("artifact").alias("ledger"), F.col("provenance_id").alias("row_id"), "delivery_date", "recorded_at"
     )
@@ -236,7 +231,7 @@ def replayed(spark, sf) -> tuple[str, DataFrame, DataFrame]:
 
 
 cte("months", """
-SELECT DISTINCT delivery_date FROM (SELECT delivery_date FROM month_orders UNION ALL SELECT delivery_date FROM month_reviews)
+SELECT DISTINCT delivery_date FROM (SELECT delivery_date FROM delivered_orders UNION ALL SELECT delivery_date FROM delivered_reviews)
 """)
 _FAILED = f"DATE '{FAILED_MONTH}'"
 
@@ -246,7 +241,7 @@ SELECT delivery_date, CASE WHEN delivery_date < {_FAILED} THEN 4 WHEN delivery_d
        0 AS n_unexpected, delivery_date < {_FAILED} AS complete,
        CASE WHEN delivery_date < {_FAILED} THEN 'complete' WHEN delivery_date = {_FAILED} THEN 'incomplete' ELSE 'not_attempted' END AS progress
 FROM months
-""", "month_orders", "month_reviews", "months"))
+""", "delivered_orders", "delivered_reviews", "months"))
 def replay(spark, sf):
     """The range stops at its failed month; later months are untouched."""
     return replayed(spark, sf)[2]
@@ -257,7 +252,7 @@ SELECT delivery_date, CASE WHEN delivery_date < {_FAILED} THEN 0 WHEN delivery_d
        0 AS failed, CASE WHEN delivery_date < {_FAILED} THEN 4 WHEN delivery_date = {_FAILED} THEN 3 ELSE 0 END AS skipped,
        0 AS blocked, TRUE AS date_complete
 FROM months
-""", "month_orders", "month_reviews", "months"))
+""", "delivered_orders", "delivered_reviews", "months"))
 def apply(spark, sf):
     """After the stopped replay, a plan over all months brings every one to completion."""
     database, outcomes, _ = replayed(spark, sf)

@@ -7,6 +7,8 @@ symmetric difference of the sets.  Sets of sizes a <= b with Jaccard similarity
 band and, where a smaller document may be its partner, in the band below.  With k the bound, at most k of a document's
 filled blocks differ from a partner's, so under any fixed order of (block, word) pairs the first k + 1 filled blocks
 of both share the first pair that they have in common.  Only these are joined.  Blocks with many shingles come first: they say most.
+Blocks that a first count finds crowded (a passage that many documents quote) come last, marked in a table of fixed size; so only
+documents that consist of such blocks, as near copies do, still meet in them.
 Bands of fewer than 32 shingles give each shingle a block of its own.  If a document fills fewer than k + 1
 blocks, all sketches of the run are made wider.
 
@@ -45,6 +47,7 @@ CELL = 64
 COMPARE_BLOCK = 512
 KEYS_PER_BUCKET = 500_000
 FLUSH_KEYS = 1_000_000
+LATE_BITS = 23
 KEY_MASK = np.uint64((1 << 40) - 1)
 _WEIGHTS = mix(np.arange(1, WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -94,8 +97,16 @@ def bands(n: int) -> list[tuple[int, int]]:
     return out
 
 
-def block_keys(shingles: np.ndarray, band: int, bound: int, wider: int) -> np.ndarray | None:
-    """The keys of the first bound + 1 filled blocks; None if fewer are filled."""
+def places(keys: np.ndarray) -> np.ndarray:
+    """Places of keys in the table of crowded ones, from bits that a bucket still knows."""
+    return (keys & KEY_MASK) >> np.uint64(40 - LATE_BITS)
+
+
+def block_keys(shingles: np.ndarray, band: int, bound: int, wider: int, late: np.ndarray | None = None) -> np.ndarray | None:
+    """The keys of the first bound + 1 filled blocks; None if fewer are filled.
+
+    Keys whose place is marked in ``late`` come after all others.
+    """
     salt = np.uint64((band + 1) * 0x2545F4914F6CDD1D % (1 << 64))
     if band < ELEMENT_BAND or wider > 3:
         keys, held = mix(shingles ^ salt), None
@@ -111,9 +122,11 @@ def block_keys(shingles: np.ndarray, band: int, bound: int, wider: int) -> np.nd
         return None
     if len(keys) == bound + 1:
         return keys
-    rank = keys >> np.uint64(5)
+    rank = keys >> np.uint64(6)
     if held is not None:
-        rank |= (np.uint64(31) - np.minimum(held, 31).astype(np.uint64)) << np.uint64(59)
+        rank |= (np.uint64(31) - np.minimum(held, 31).astype(np.uint64)) << np.uint64(58)
+    if late is not None:
+        rank |= late[places(keys)].astype(np.uint64) << np.uint64(63)
     return keys[rank <= np.partition(rank, bound)[bound]]
 
 
@@ -135,10 +148,13 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True)]], schema=schema)
 
 
-def _emit(wider: int, buckets: int):
+def _emit(wider: int, buckets: int, late: bytes | None = None):
+    marks = None if late is None else np.frombuffer(late, np.uint8)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
+        table = None if marks is None else np.unpackbits(marks, bitorder="little")
         for batch in batches:
             for texts in chunks(batch.column("text")):
                 seen = set()
@@ -150,7 +166,7 @@ def _emit(wider: int, buckets: int):
                         continue
                     seen.add(owner)
                     for band, bound in bands(len(s)):
-                        keys = block_keys(s, band, bound, wider)
+                        keys = block_keys(s, band, bound, wider, table)
                         held.append((keys, np.full(len(keys), owner, np.int64)))
                         size += len(keys)
                 if size >= FLUSH_KEYS:
@@ -185,11 +201,8 @@ def _packed(held: list[tuple[np.ndarray, np.ndarray]], buckets: int) -> pa.Recor
     )
 
 
-MET_SCHEMA = "kind int, a bigint, b bigint"
-
-
-def _meet(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of owners that share a key; of a key with many owners, its members and their links with one of them."""
+def _members(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys with their distinct owners, and where each key starts."""
     short = np.frombuffer(b"".join(rows["keys"]), np.uint8).reshape(-1, 5)
     wide = np.zeros((len(short), 8), np.uint8)
     wide[:, :5] = short
@@ -199,7 +212,33 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
     keys, owners = keys[order], owners[order]
     fresh = np.concatenate(([True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])))
     keys, owners = keys[fresh], owners[fresh]
-    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys, owners, np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+
+
+def _crowded(rows: pd.DataFrame) -> pd.DataFrame:
+    """Places of keys with more than ALL_PAIRS owners, as bits of 64-bit words."""
+    keys, _, starts = _members(rows)
+    place = np.unique(places(keys[starts[np.diff(starts, append=len(keys)) > ALL_PAIRS]]))
+    word, bit = (place >> np.uint64(6)).astype(np.int32), np.uint64(1) << (place & np.uint64(63))
+    first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))) if len(word) else np.zeros(0, np.int64)
+    return pd.DataFrame({"word": word[first], "mask": (np.bitwise_or.reduceat(bit, first) if len(first) else bit).astype(np.int64)})
+
+
+def crowded_keys(packed: DataFrame) -> bytes:
+    """The table of crowded keys, a bit for each of 2 ** LATE_BITS places; at most one row per word of it reaches the driver."""
+    words = np.zeros(1 << (LATE_BITS - 6), np.int64)
+    marked = packed.groupBy("bucket").applyInPandas(_crowded, "word int, mask bigint")
+    for word, mask in marked.groupBy("word").agg(F.bit_or("mask")).collect():
+        words[word] = mask
+    return words.tobytes()
+
+
+MET_SCHEMA = "kind int, a bigint, b bigint"
+
+
+def _meet(rows: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of owners that share a key; of a key with many owners, its members and their pairs with three of them."""
+    keys, owners, starts = _members(rows)
     sizes = np.diff(starts, append=len(keys))
     out_a, out_b, members = [], [], {}
     for size in np.unique(sizes[sizes > 1]).tolist():
@@ -211,7 +250,7 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
             continue
         for s in at.tolist():
             group = owners[s : s + size]
-            for hub in (0, size // 2, size - 1):
+            for hub in range(3):  # the least owners, so that keys with the same members have the same hubs
                 rest = np.delete(group, hub)
                 out_a.append(np.minimum(rest, group[hub]))
                 out_b.append(np.maximum(rest, group[hub]))
@@ -269,33 +308,35 @@ def _sketched(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _compare(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of unconnected members, across two blocks or inside one, that size and parity bits allow."""
-    i, j = int(rows["i"].iat[0]), int(rows["j"].iat[0])
+    """Pairs of members of different components, one of each side, that size and parity bits allow."""
     width = min(map(len, rows["parity"]))
     bits = np.stack([folded(x, width) for x in rows["parity"]])
-    n, root, block, ids, fps = (rows[c].to_numpy() for c in ("n", "root", "block", "id", "fp1"))
-    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    n, root, side, ids, fps = (rows[c].to_numpy() for c in ("n", "root", "side", "id", "fp1"))
+    few, many = sorted((np.flatnonzero(side == 0), np.flatnonzero(side == 1)), key=len)
     out = []
-    for r in np.unique(root[left]).tolist():
-        # rows of one component are not compared with each other
-        one, many = sorted((left[root[left] == r], right[root[right] != r]), key=len)
-        for x in one.tolist():
-            apart = np.bitwise_count(bits[many] ^ bits[x]).sum(axis=1)
-            hit = many[(apart <= (n[x] + n[many]) // 7) & (4 * np.minimum(n[many], n[x]) >= 3 * np.maximum(n[many], n[x]))]
-            out += [(ids[x], fps[x], ids[y], fps[y]) for y in hit.tolist()]
+    for x in few.tolist():
+        other = many[(root[many] != root[x]) & (4 * np.minimum(n[many], n[x]) >= 3 * np.maximum(n[many], n[x]))]
+        apart = np.bitwise_count(bits[other] ^ bits[x]).sum(axis=1)
+        out += [(ids[x], fps[x], ids[y], fps[y]) for y in other[apart <= (n[x] + n[other]) // 7].tolist()]
     return pd.DataFrame(out, columns=["a", "fa", "b", "fb"], dtype=np.int64)
 
 
 def _unconnected(members: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Candidate pairs of large groups whose members are not all connected yet."""
+    """Candidate pairs of large groups whose members are not all connected yet.
+
+    Only members outside a group's largest component have pairs left.  Members are dealt over blocks of about COMPARE_BLOCK; those
+    outside go to every block, so rows grow with the members and with what is still apart, not with the square of the group.
+    """
     known = members.join(classes.select(F.col("fp1"), F.col("rep").alias("id"), "n", "parity"), "fp1")
     placed = known.join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")).drop("node")
-    open_groups = placed.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).where("low <> high")
-    left = placed.join(open_groups.select("gid", (1 + F.floor(F.col("size") / COMPARE_BLOCK)).cast("int").alias("blocks")), "gid")
-    left = left.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    crossed = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    crossed = crossed.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    found = crossed.groupBy("gid", "i", "j").applyInPandas(_compare, "a bigint, fa bigint, b bigint, fb bigint")
+    per_root = placed.groupBy("gid", "root").agg(F.count("*").alias("size"))
+    shape = per_root.groupBy("gid").agg(F.max(F.struct("size", "root")).alias("most"), F.count("*").alias("roots"), F.sum("size").alias("size"))
+    shape = shape.where("roots > 1").select("gid", F.col("most.root").alias("main"), (1 + F.floor(F.col("size") / COMPARE_BLOCK)).cast("int").alias("blocks"))
+    left = placed.join(shape, "gid")
+    dealt = left.select("gid", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("side"), "id", "fp1", "n", "root", "parity")
+    apart = left.where("root <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sent = apart.select("gid", "block", F.lit(0).alias("side"), "id", "fp1", "n", "root", "parity")
+    found = dealt.unionByName(sent).groupBy("gid", "block").applyInPandas(_compare, "a bigint, fa bigint, b bigint, fb bigint")
     swap = F.col("a") > F.col("b")
     return found.select(
         F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("fb")).otherwise(F.col("fa")).alias("fa"),
@@ -309,7 +350,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     described = written_table(docs.mapInArrow(_describe, DOC_SCHEMA), "shingle-sets")
     total, wider = described.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("wider"), F.lit(0))).first()
     buckets = max(1, int(total * 0.5 / KEYS_PER_BUCKET))
-    packed = docs.mapInArrow(_emit(wider, buckets), PACKED_SCHEMA)
+    late = crowded_keys(docs.mapInArrow(_emit(wider, buckets), PACKED_SCHEMA))
+    packed = docs.mapInArrow(_emit(wider, buckets, late), PACKED_SCHEMA)
     met = written_table(packed.groupBy("bucket").applyInPandas(_meet, MET_SCHEMA), "sketch-matches")
 
     classes = described.where("n > 0").groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.any_value("parity").alias("parity"))

@@ -28,7 +28,7 @@ def test_quality_figures_equal_brute_force(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == (
             len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered), failed,
         )
-        assert not (r.kept and failed) and 0 <= r.char_distance <= 1 and 0 <= r.word_distance <= 1
+        assert not (r.kept and failed) and all(d is None or 0 <= d <= 1 for d in (r.char_distance, r.word_distance))
 
 
 def test_repeated_words_are_exact_above_a_million_words(spark):
@@ -46,6 +46,25 @@ def test_odd_symbols_are_rejected_and_prose_is_kept(spark):
     assert all(kept[t] for t in good) and not any(kept[t] for t in bad)
 
 
+CYRILLIC = str.maketrans("abcdefghijklmnoprstuvwy", "абцдефгхийклмнопрстувшы")
+
+
+def test_languages_without_a_reference_are_left_alone(spark):
+    """A few documents of a rare language, far from every reference, are judged by the base rules alone."""
+    rows = [(n, prose(n, 300), "en") for n in range(40)] + [(100 + n, prose(n + 500, 300).translate(CYRILLIC), "ru") for n in range(3)]
+    rows += [(200, " ".join(w + "%%$" for w in prose(900, 200).split()), "en"), (201, "а б в", "ru"), (202, prose(7, 300).translate(CYRILLIC), None)]
+    got = {r.doc_id: r for r in divergence.judged(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).selectExpr("row.doc_id", "kept", "char_distance").collect()}
+    assert all(got[n].kept for n in (*range(40), 100, 101, 102)) and got[100].char_distance is None
+    assert not got[200].kept and not got[201].kept and got[202].char_distance is not None
+
+
+def test_references_are_learned_per_language(spark):
+    rows = [(n, " ".join(["alpha", "beta", f"w{n}"] * 20), "x") for n in range(35)] + [(n, "gamma delta", "y") for n in range(19)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    common = divergence.common_words(docs)
+    assert list(common) == ["x"] and common["x"][:2] == ["alpha", "beta"] and len(common["x"]) == divergence.COMMON
+
+
 def test_quality_of_an_empty_table_and_without_languages(spark):
     assert divergence.judged(empty(spark)).count() == 0
     df = documents(spark).drop("lang", "source", "n_chars")

@@ -25,6 +25,7 @@ import hashlib
 import os
 import sys
 import types
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -38,8 +39,8 @@ from replaykit.session import written_table
 
 from .textbytes import Texts, chunks, mix, prefix_sums, span_hashes
 
-CACHED_UNITS = 300_000
-CHUNK_BYTES_OUT = 16 << 20
+CACHED_UNITS = 200_000
+CHUNK_BYTES_OUT = 4 << 20
 PIECE_BYTES = 1 << 20
 
 
@@ -230,6 +231,15 @@ CHUNK_DDL = (
 )
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Small numbers, compressed by planes of their bytes."""
+    return zlib.compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(planes), np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
+
+
 class _Chunk:
     """Texts encoded since the last row was written."""
 
@@ -248,7 +258,9 @@ class _Chunk:
         sound = np.bincount(owner, 1 - table.figures[slots, 3], docs) == 0
         slots, owner = slots[sound[owner]], owner[sound[owner]]
         bounds = np.searchsorted(owner, np.arange(docs + 1))
-        unit, local = np.unique(slots, return_inverse=True)
+        unit, local, count = np.unique(slots, return_inverse=True, return_counts=True)
+        often = np.argsort(-count, kind="stable")  # frequent units get small numbers
+        unit, local = unit[often], np.argsort(often)[local]
         sums = lambda per_unit: np.diff(np.concatenate(([0], np.cumsum(per_unit[local])))[bounds])
         low, n_links = table.first[unit], np.diff(table.first)[unit]
         places = np.arange(n_links.sum()) + np.repeat(low - (np.cumsum(n_links) - n_links), n_links)
@@ -266,8 +278,8 @@ class _Chunk:
         shown = [table.shown[i] for i in slots.tolist()]
         digests = [hashlib.sha256(b"".join(shown[s:e])[:-1]).hexdigest() if e > s else "" for s, e in zip(bounds.tolist(), bounds[1:].tolist())]
         values = [
-            self.number, self.ids, figures.astype("<i8").tobytes(), digests, local.astype("<u4").tobytes(), bounds.astype("<u8").tobytes(),
-            links.astype("<i4").tobytes(), np.concatenate(([0], np.cumsum(n_links))).astype("<u8").tobytes(),
+            self.number, self.ids, figures.astype("<i8").tobytes(), digests, _planes(local), bounds.astype("<u8").tobytes(),
+            _planes(links), np.concatenate(([0], np.cumsum(n_links))).astype("<u8").tobytes(),
             pairs, pair_counts, used.astype(np.int32), vector[used],
         ]
         return pa.RecordBatch.from_arrays([pa.array([x], t) for x, (_, t) in zip(values, CHUNK_TYPES, strict=True)], schema=pa.schema(CHUNK_TYPES))
@@ -336,14 +348,14 @@ def _summed(same_total: np.ndarray, same_best: np.ndarray):
         code, pair_total, pair_best = (counted.column(c).to_numpy() for c in ("code", "total", "best"))
         order = np.argsort(code)
         place = order[np.searchsorted(code[order], pairs)]
-        links = np.frombuffer(values["links"], "<i4")
+        links = _numbers(values["links"])
         total, best = np.zeros(len(links), np.int64), np.zeros(len(links), np.int64)
         same = links < 0
         total[same], best[same] = same_total[-1 - links[same]], same_best[-1 - links[same]]
         if len(pairs):
             total[~same], best[~same] = pair_total[place][links[~same]], pair_best[place][links[~same]]
         by_unit = np.frombuffer(values["link_bounds"], "<u8").astype(np.int64)
-        units, by_doc = np.frombuffer(values["units"], "<u4"), np.frombuffer(values["unit_bounds"], "<u8").astype(np.int64)
+        units, by_doc = _numbers(values["units"]), np.frombuffer(values["unit_bounds"], "<u8").astype(np.int64)
 
         def per_doc(of_links: np.ndarray) -> np.ndarray:
             of_unit = np.diff(np.concatenate(([0], np.cumsum(of_links)))[by_unit])

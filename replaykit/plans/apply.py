@@ -21,6 +21,7 @@ from .attempts import (
     derived_id,
     load_sources,
     utc_now,
+    with_loads,
 )
 from .replay import LANDING_FACTS
 
@@ -102,28 +103,26 @@ def apply_plan(
     )
     loadable = (action == "load_only") & F.col("provenance_id").isNotNull() | F.col("ingest_ok")
 
-    def record(load_ok, keep) -> None:
-        with_flags = attempts.withColumn("load_ok", load_ok)
+    def record(flagged: DataFrame, keep: Column) -> None:
         append_events(
-            with_flags, recovery.recovery_steps(), keep, database, run_id, started, stamp(), _load_error()
+            flagged, recovery.recovery_steps(), keep, database, run_id, started, stamp(), _load_error()
         )
 
     step = F.col("step")
-    record(F.lit(True), (step == 0) & (action != "reconcile"))
+    assumed = attempts.withColumn("load_ok", F.lit(True))
+    record(assumed, (step == 0) & (action != "reconcile"))
     append_artifacts(attempts.filter("ingest_ok"), database, run_id, stamp())
-    record(F.lit(True), (step == 1) & (action == "ingest_and_load"))
-    failed = load_sources(attempts.filter(loadable), database, rows_of)
-    load_ok = loadable & ~F.col("source_object").isin(*failed) if failed else loadable
-    append_loads(attempts.filter(load_ok), database, run_id, attempt, stamp())
+    record(assumed, (step == 1) & (action == "ingest_and_load"))
+    loaded = with_loads(attempts, loadable, load_sources(attempts.filter(loadable), database, rows_of))
+    append_loads(loaded.filter("load_ok"), database, run_id, attempt, stamp())
     last = (
         ((action == "load_only") & (step == 1))
         | ((action == "ingest_and_load") & (step == 2))
         | (action == "reconcile")
     )
-    record(load_ok, last)
+    record(loaded, last)
     return (
-        attempts.withColumn("load_ok", load_ok)
-        .withColumn("outcome", recovery.result_outcome())
+        loaded.withColumn("outcome", recovery.result_outcome())
         .select(
             *PAIR,
             "action",

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.paths import destination_id
 from ..functions.text import safe_error
 from ..operators.ledger import PAIR, explode_steps
+from ..session import constant_table
 from ..sources.registry import DAILY_SOURCES, is_transactional
 from ..sources.tables import append_ledger, partition_counts, replace_partitions
 
@@ -103,28 +104,55 @@ def append_artifacts(attempts: DataFrame, database: str, run_id: str, recorded_a
     append_ledger(rows, database, "artifact_provenance")
 
 
-def load_sources(attempts: DataFrame, database: str, rows_of: RowsOf) -> set[str]:
-    """Replace the partitions of every attempted pair, one write per source table.
+Pair = tuple[dt.date, str]
 
-    Returns the sources whose write failed; a failed write does not stop the
-    other sources.  What went wrong goes to the log, never into a ledger.
-    Errors of the plan itself, such as an absent table, and a lost session end the job.
+
+def load_sources(attempts: DataFrame, database: str, rows_of: RowsOf) -> list[Pair]:
+    """Replace the partitions of every attempted pair and return the pairs that failed.
+
+    All days of a source are published by one write.  Where it fails nothing was published, and the days are tried again
+    in halves, so that a bad day fails alone: a few more writes for each bad day, and none where all is well.  What
+    went wrong goes to the log, never into a ledger.  Errors of the plan itself, such as an absent table, and a lost
+    session end the job.  The days of a range come to the driver, one date each.
     """
-    failed = set()
-    for source in DAILY_SOURCES:
-        days = attempts.filter(F.col("source_object") == source).select("delivery_date")
-        if days.isEmpty():
-            continue
+    failed: list[Pair] = []
+    wanted: dict[str, list[dt.date]] = {}
+    for row in attempts.select(*PAIR).distinct().collect():
+        wanted.setdefault(row.source_object, []).append(row.delivery_date)
+    for source in (s for s in DAILY_SOURCES if s in wanted):
         try:
-            replace_partitions(rows_of(source), database, source, days)
+            rows = rows_of(source)
         except (AnalysisException, Py4JNetworkError):
             raise
-        except Exception as error:  # noqa: BLE001 - isolated per source, recorded as a failed load
-            log.warning("load of %s failed: %s", source, type(error).__name__)
-            failed.add(source)
+        except Exception as error:  # noqa: BLE001 - isolated per source, recorded as failed loads
+            log.warning("rows of %s failed: %s", source, type(error).__name__)
+            failed += [(day, source) for day in wanted[source]]
+            continue
+        parts = [sorted(wanted[source])]
+        while parts:
+            days = parts.pop()
+            try:
+                replace_partitions(rows, database, source, days)
+            except (AnalysisException, Py4JNetworkError):
+                raise
+            except Exception as error:  # noqa: BLE001 - isolated per day, recorded as a failed load
+                log.warning("load of %s failed for %d days from %s: %s", source, len(days), days[0], type(error).__name__)
+                if len(days) == 1:
+                    failed.append((days[0], source))
+                else:
+                    parts += [days[: len(days) // 2], days[len(days) // 2 :]]
     return failed
 
 
+def with_loads(attempts: DataFrame, loadable: Column, failed: list[Pair]) -> DataFrame:
+    """Add ``load_ok``: the pair was to be loaded, and its own partition was published."""
+    if not failed:
+        return attempts.withColumn("load_ok", loadable)
+    bad = constant_table(attempts.sparkSession, failed, {"delivery_date": "date", "source_object": "string"})
+    joined = attempts.join(bad.withColumn("load_failed", F.lit(True)), list(PAIR), "left")
+    return joined.withColumn("load_ok", loadable & F.col("load_failed").isNull()).drop("load_failed")
+
+
 def loaded_counts(spark: SparkSession, database: str, days: dict[str, list[dt.date]]) -> DataFrame:
     """Rows per loaded partition, read from the tables after the write; only the given days are read."""
     counts = spark.sql("SELECT '' AS source_object, DATE'0001-01-01' AS partition_date, 0L AS n WHERE false")

@@ -21,6 +21,7 @@ from .attempts import (
     derived_id,
     load_sources,
     utc_now,
+    with_loads,
 )
 
 LANDING_FACTS = ("ingestion_date", "gcs_uri", "checksum", "file_size_bytes", "record_count")
@@ -90,11 +91,10 @@ def replay_range(
     ingested = attempts.filter("ingest_ok")
     append_artifacts(ingested, database, run_id, stamp())
     append_events(attempts, steps, F.col("step") == 1, database, run_id, started, stamp())
-    failed = load_sources(ingested, database, rows_of)
-    load_ok = ~F.col("source_object").isin(*failed) if failed else F.lit(True)
-    append_loads(ingested.filter(load_ok), database, run_id, attempt_of(started), stamp())
-    steps = ledger.replay_steps(F.col("ingest_ok"), load_ok)
-    append_events(attempts, steps, F.col("step") == 2, database, run_id, started, stamp())
+    loaded = with_loads(attempts, F.col("ingest_ok"), load_sources(ingested, database, rows_of))
+    append_loads(loaded.filter("load_ok"), database, run_id, attempt_of(started), stamp())
+    steps = ledger.replay_steps(F.col("ingest_ok"), F.col("load_ok"))
+    append_events(loaded, steps, F.col("step") == 2, database, run_id, started, stamp())
     return range_status(ledger_of(spark, events, days), days)
 
 

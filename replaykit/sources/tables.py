@@ -14,30 +14,48 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import destination_id
+from ..session import drop_tables, written_so_far, written_table
 from .registry import MASTER, SOURCES, columns_of, is_transactional
 
 PARTITION = "delivery_date"
 DDL_BATCH = 500
 
-# Ledger columns, in stored order.
-LEDGERS: dict[str, tuple[str, str]] = {
+# Key, columns in stored order, and partition column of each ledger.
+LEDGERS: dict[str, tuple[str, str, str]] = {
     "replay_events": (
         "event_id",
         "run_id string, event_id string, delivery_date date, source_object string, status string, "
         "stage string, started_at timestamp, completed_at timestamp, error_message string, "
         "recorded_at timestamp",
+        PARTITION,
     ),
     "artifact_provenance": (
         "provenance_id",
         "provenance_id string, run_id string, delivery_date date, source_object string, "
         "ingestion_date date, gcs_uri string, checksum string, file_size_bytes bigint, "
         "record_count bigint, recorded_at timestamp",
+        PARTITION,
     ),
     "load_provenance": (
         "load_id",
         "load_id string, provenance_id string, run_id string, delivery_date date, "
         "source_object string, destination string, partition_date date, output_rows bigint, "
         "job_id string, recorded_at timestamp",
+        PARTITION,
+    ),
+    "landing_manifest": (
+        "landing_path",
+        "landing_path string, path string, source_system string, source_object string, source_file_name string, "
+        "delivery_date date, checksum string, file_size_bytes bigint, record_count bigint, claim_id string, "
+        "landed_at timestamp, ingestion_date date",
+        "ingestion_date",
+    ),
+    "ingestion_runs": (
+        "ingestion_id",
+        "ingestion_id string, source_system string, source_object string, source_file_name string, "
+        "started_at timestamp, completed_at timestamp, landing_path string, file_size_bytes bigint, checksum string, "
+        "record_count bigint, status string, error_message string, schema_version string, run_day date",
+        "run_day",
     ),
 }
 
@@ -48,11 +66,10 @@ def create_database(spark: SparkSession, database: str, location: str | None = N
 
 
 def create_ledger(spark: SparkSession, database: str, ledger: str) -> str:
-    """Create the ledger if absent, one partition per delivery date."""
+    """Create the ledger if absent, one partition per day."""
     table = f"{database}.{ledger}"
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({LEDGERS[ledger][1]}) USING parquet PARTITIONED BY ({PARTITION})"
-    )
+    _, columns, partition = LEDGERS[ledger]
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet PARTITIONED BY ({partition})")
     return table
 
 
@@ -77,21 +94,20 @@ def create_raw_table(spark: SparkSession, database: str, source_object: str) ->
 def append_ledger(rows: DataFrame, database: str, ledger: str) -> None:
     """Insert rows whose id is new; a repeated append changes nothing.
 
-    Only the partitions of the new rows' days are read back, and rows are sorted
+    The rows are computed once, into the shared folder.  Only the partitions of their days are read back, and rows are sorted
     by source inside each file so that Parquet statistics prune lookups.
     """
     spark = rows.sparkSession
     table = create_ledger(spark, database, ledger)
-    key = LEDGERS[ledger][0]
+    key, _, partition = LEDGERS[ledger]
     stored = spark.table(table)
-    fresh = rows.select(*stored.columns).dropDuplicates([key])
-    days = sorted(row[0] for row in rows.select(PARTITION).distinct().collect())
-    if not days:
-        return
-    span = stored.filter(F.col(PARTITION).isin(days)).select(PARTITION, key)
-    new = fresh.join(span, [PARTITION, key], "left_anti").select(*stored.columns)
-    ordered = new.hint("rebalance", PARTITION).sortWithinPartitions(PARTITION, "source_object")
-    ordered.write.mode("append").insertInto(table)
+    fresh = written_table(rows.select(*stored.columns), "append")
+    days = sorted(row[0] for row in fresh.select(partition).distinct().collect())
+    if days:
+        known = stored.filter(F.col(partition).isin(days)).select(partition, key)
+        new = fresh.dropDuplicates([key]).join(known, [partition, key], "left_anti").select(*stored.columns)
+        new.hint("rebalance", partition).sortWithinPartitions(partition, "source_object").write.mode("append").insertInto(table)
+    drop_tables(spark, written_so_far()[-1:])
 
 
 def replace_master(rows: DataFrame, database: str, source_object: str) -> str:
@@ -114,18 +130,18 @@ def clear_partitions(spark: SparkSession, table: str, days: Iterable[dt.date]) -
     _partition_ddl(spark, table, "ADD IF NOT EXISTS", listed, " ")
 
 
-def replace_partitions(rows: DataFrame, database: str, source_object: str, days: DataFrame) -> str:
+def replace_partitions(rows: DataFrame, database: str, source_object: str, days: DataFrame | list[dt.date]) -> str:
     """Replace exactly the given days, in one write for all of them.
 
     ``rows`` carries ``delivery_date``; rows of other days are not written.  The
-    days come to the driver first, one date each, so they prune partitioned input.
+    days, one date each, come to the driver first unless they are there, so they prune partitioned input.
     Dynamic overwrite leaves a day without rows as it was, so the write
     observes which days it filled and the others (a list of dates, one per day
     at most) are emptied after it.  The rows are computed once.
     """
     spark = rows.sparkSession
     table = create_raw_table(spark, database, source_object)
-    wanted = sorted(row[0] for row in days.select(PARTITION).distinct().collect())
+    wanted = days if isinstance(days, list) else sorted(row[0] for row in days.select(PARTITION).distinct().collect())
     kept = rows.filter(F.col(PARTITION).isin(wanted)).select(*columns_of(source_object), PARTITION)
     seen = Observation()
     observed = kept.observe(seen, F.collect_set(PARTITION).alias("days"))

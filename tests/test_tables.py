@@ -177,6 +177,24 @@ def test_a_run_retried_under_its_id_completes(spark, database):
     assert spark.table(f"{database}.replay_events").count() == before
 
 
+def test_a_bad_day_of_one_source_fails_alone(spark, database):
+    """One day's rows cannot be written; its siblings, and the other days of its source, are published."""
+    days, outcomes, good = day_frame(spark, 1, 2, 3), outcomes_of(spark, (1, 2, 3)), rows_of(spark)
+
+    def broken(source):
+        frame = good(source)
+        bad = F.when(F.col("delivery_date") == F.lit(DAY[2]), F.raise_error(F.lit("torn")).cast("string"))
+        return frame.withColumn("order_id", bad.otherwise(F.col("order_id"))) if source == "payments" else frame
+
+    done = replay_range(spark, database, days, outcomes, outcomes, broken, "run-1", lambda: CLOCK)
+    assert progress(done) == {1: "complete", 2: "incomplete", 3: "not_attempted"}  # the range status stops at day 2
+    last = {(r.delivery_date.day, r.source_object): r.status for r in ledger.latest_attempt_per_source(spark.table(f"{database}.replay_events")).collect()}
+    assert [k for k, status in last.items() if status == "failed"] == [(2, "payments")] and len(last) == 12
+    assert counts(spark, database, "payments") == {1: 1, 3: 1}
+    assert spark.table(f"{database}.load_provenance").count() == 11
+    assert_ledgers_legal(spark, database)
+
+
 def test_a_ledger_of_many_days_is_read_for_the_requested_ones(spark, database):
     from replaykit.plans.replay import ledger_of
 

@@ -23,6 +23,7 @@ from .attempts import (
     utc_now,
     with_loads,
 )
+from .ingest import delivered_rows, deliveries_of, judge, land
 from .replay import LANDING_FACTS
 
 
@@ -136,6 +137,30 @@ def apply_plan(
     )
 
 
+def recover_files(
+    spark: SparkSession,
+    database: str,
+    root: str,
+    plan: DataFrame,
+    supplied: DataFrame,
+    reconciled: DataFrame,
+    ingestion_date: Column,
+    store: str,
+    run_id: str,
+    clock: Clock = utc_now,
+) -> DataFrame:
+    """Apply a plan whose fresh deliveries lie as files below a root; only files of planned ingestions are landed."""
+    stamp = Stamps(clock)
+    started = stamp()
+    outcomes = judge(spark, database, root, ingestion_date, run_id)
+    pairs = written_table(deliveries_of(outcomes, store), "deliveries")
+    check_request(plan, supplied, pairs)
+    needed = plan.filter(F.col("action") == "ingest_and_load").select(*PAIR)
+    land(outcomes.join(needed, list(PAIR), "left_semi"), database, run_id, started, stamp())
+    rows = delivered_rows(spark, root, outcomes)
+    return apply_plan(spark, database, plan, supplied, pairs, pairs, reconciled, rows, run_id, clock)
+
+
 def recovery_summary(spark: SparkSession, database: str, results: DataFrame) -> DataFrame:
     """Counts per day with completeness re-read from the ledger."""
     return recovery.outcome_summary(results, spark.table(f"{database}.replay_events"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import batches, ledger
@@ -23,6 +23,7 @@ from .attempts import (
     utc_now,
     with_loads,
 )
+from .ingest import delivered_rows, deliveries_of, judge, land
 
 LANDING_FACTS = ("ingestion_date", "gcs_uri", "checksum", "file_size_bytes", "record_count")
 
@@ -98,6 +99,37 @@ def replay_range(
     return range_status(ledger_of(spark, events, days), days)
 
 
+def replay_files(
+    spark: SparkSession,
+    database: str,
+    root: str,
+    days: DataFrame,
+    ingestion_date: Column,
+    store: str,
+    run_id: str,
+    clock: Clock = utc_now,
+) -> DataFrame:
+    """Replay the requested days from a folder of delivered files, and return the progress of each.
+
+    All files are judged in one job.  Only files of days that the range reaches are landed, and get a claim and a run row;
+    the tables are then loaded from them.  Later days stay as if they had not been delivered.
+    """
+    stamp = Stamps(clock)
+    started = stamp()
+    outcomes = judge(spark, database, root, ingestion_date, run_id)
+    pairs = written_table(deliveries_of(outcomes, store), "deliveries")
+    events = spark.table(create_ledger(spark, database, "replay_events"))
+    reached = attempted_days(days, pairs, pairs, events).filter("accepted").select("delivery_date")
+    land(outcomes.join(reached, "delivery_date", "left_semi"), database, run_id, started, stamp())
+    return replay_range(spark, database, days, pairs, pairs, delivered_rows(spark, root, outcomes), run_id, clock)
+
+
+def refusals(days: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """Requested days whose batch is refused as a whole, with the names of what is missing and what nobody expects."""
+    judged = batches.membership(deliveries, days).filter(~F.col("accepted"))
+    return judged.select("delivery_date", "missing_sources", "unexpected_sources")
+
+
 def ledger_of(spark: SparkSession, table: str, days: DataFrame) -> DataFrame:
     """Ledger rows of the requested days, read from their partitions alone.
 

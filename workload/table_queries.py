@@ -8,19 +8,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replaykit.functions.paths import landing_path
+from replaykit.functions.dates import historical_ingestion_date
 from replaykit.operators import inspection, reconciliation, recovery
+from replaykit.operators.checks import run_rules, violations
 from replaykit.operators.slicing import expected_grid
-from replaykit.plans.apply import apply_plan, recovery_summary
+from replaykit.plans.apply import recover_files, recovery_summary
+from replaykit.plans.attempts import Stamps, append_artifacts, append_loads, attempt_of, derived_id, load_sources
+from replaykit.plans.ingest import delivered_rows, deliveries_of, judge
 from replaykit.plans.initial import initial_load
-from replaykit.plans.replay import replay_range
-from replaykit.session import shared_dir
+from replaykit.plans.replay import replay_files
+from replaykit.session import shared_dir, written_table
 from replaykit.sources import tables
-from replaykit.sources.registry import DAILY_SOURCES, MASTER_SOURCES, columns_of, with_registry
+from replaykit.sources.registry import DAILY_SOURCES, MASTER_SOURCES, columns_of
 
 from . import bindings as b
 from .catalog import query
 from .daily import BY_DAY, RAW_SQL, daily_rows, master_rows, period, period_sql, stacked, stacked_sql
+from .file_queries import CSV
 from .sqltext import cte, sql
 
 RUN_CLOCK = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
@@ -175,91 +179,114 @@ def ledger_ddl(spark, sf):
 # --- whole jobs ------------------------------------------------------------------
 
 
-def month_outcomes(spark, sf) -> DataFrame:
-    """Ingestion outcome of every (month, source); orders of the hundredth month failed."""
-    counts = None
-    for source, rows in daily_rows(spark, sf).items():
-        part = rows.groupBy("delivery_date").agg(F.count(F.lit(1)).alias("record_count"))
-        part = part.select("delivery_date", F.lit(source).alias("source_object"), "record_count")
-        counts = part if counts is None else counts.unionByName(part)
-    months = counts.select("delivery_date").distinct()
-    filled = expected_grid(months).join(counts, ["delivery_date", "source_object"], "left")
-    landed = F.date_add("delivery_date", 1)
-    named = with_registry(filled).withColumns({
-        "record_count": F.coalesce("record_count", F.lit(0).cast("bigint")),
-        "ingestion_date": landed,
-    })
-    bad = (F.col("source_object") == "payments") & (F.col("delivery_date") == F.lit(FAILED_MONTH))
-    path = landing_path(
-        F.col("source_system"), F.col("source_object"), F.col("ingestion_date"),
-        F.concat("source_object", F.lit(".csv")),
-    )
-    return named.select(
-        "delivery_date",
-        "source_object",
-        F.when(bad, "failed").otherwise("success").alias("status"),
-        F.when(bad, "category=source_validation_failed").alias("error_message"),
-        "ingestion_date",
-        F.concat(F.lit("gs://bucket/"), path).alias("gcs_uri"),
-        F.sha2(path, 256).alias("checksum"),
-        (F.col("record_count") * 10).alias("file_size_bytes"),
-        "record_count",
-    )
+FAILED_DAY = dt.date(1999, 6, 1)
+STORE = "gs://bucket"
+_ROOTS: dict[tuple[str, str, bool], str] = {}
+
+
+def delivered_files(spark, sf, mended: bool) -> str:
+    """One file per period and daily source, of zero records where there are none; unless mended, payments of one period lack a column."""
+    key = (spark.sparkContext.applicationId, sf, mended)
+    if key not in _ROOTS:
+        root = shared_dir(spark, "replayed")
+        days = periods(spark, sf)
+        for source, rows in daily_rows(spark, sf).items():
+            bad = (F.col("delivery_date") == F.lit(FAILED_DAY)) & F.lit(source == "payments" and not mended)
+            placed = rows.repartition("delivery_date")
+            placed.filter(~bad).write.mode("append").options(**CSV).partitionBy("delivery_date").csv(f"{root}/{source}")
+            if source == "payments" and not mended:
+                placed.filter(bad).drop(columns_of(source)[-1]).write.mode("append").options(**CSV).partitionBy("delivery_date").csv(f"{root}/{source}")
+            header = days.join(rows, "delivery_date", "left_anti").select(F.lit(",".join(columns_of(source))).alias("line"), "delivery_date")
+            header.repartition("delivery_date").write.mode("append").options(sep="\t", header="false").partitionBy("delivery_date").csv(f"{root}/{source}")
+        _ROOTS[key] = root
+    return _ROOTS[key]
 
 
-FAILED_MONTH = dt.date(1999, 6, 1)
+def periods(spark, sf) -> DataFrame:
+    rows = daily_rows(spark, sf)
+    return rows["orders"].select("delivery_date").unionByName(rows["reviews"].select("delivery_date")).distinct()
 
 
-def replayed(spark, sf) -> tuple[str, DataFrame, DataFrame]:
-    """A replay of all months whose payments fail in one of them."""
+def replayed(spark, sf) -> tuple[str, DataFrame]:
+    """A replay of all periods from their files, whose payments fail in one of them."""
     database = fresh_database(spark)
-    outcomes = month_outcomes(spark, sf)
-    path = shared_dir(spark, "outcomes")
-    outcomes.write.parquet(path)
-    outcomes = spark.read.parquet(path)
-    progress = replay_range(
-        spark,
-        database,
-        outcomes.select("delivery_date").distinct(),
-        outcomes,
-        outcomes,
-        daily_rows(spark, sf).__getitem__,
-        "replay-1",
-        lambda: RUN_CLOCK,
-    )
-    return database, outcomes, progress
+    root = delivered_files(spark, sf, False)
+    landing = historical_ingestion_date(F.col("delivery_date"))
+    return database, replay_files(spark, database, root, periods(spark, sf), landing, STORE, "replay-1", lambda: RUN_CLOCK)
 
 
-cte("months", """
+cte("periods", """
 SELECT DISTINCT delivery_date FROM (SELECT delivery_date FROM delivered_orders UNION ALL SELECT delivery_date FROM delivered_reviews)
 """)
-_FAILED = f"DATE '{FAILED_MONTH}'"
+_FAILED = f"DATE '{FAILED_DAY}'"
+_PERIOD_CTES = ("delivered_orders", "delivered_items", "delivered_payments", "delivered_reviews", "periods")
 
 
 @query("replay_range", sql(f"""
 SELECT delivery_date, CASE WHEN delivery_date < {_FAILED} THEN 4 WHEN delivery_date = {_FAILED} THEN 3 ELSE 0 END AS n_completed,
        0 AS n_unexpected, delivery_date < {_FAILED} AS complete,
        CASE WHEN delivery_date < {_FAILED} THEN 'complete' WHEN delivery_date = {_FAILED} THEN 'incomplete' ELSE 'not_attempted' END AS progress
-FROM months
-""", "delivered_orders", "delivered_reviews", "months"))
+FROM periods
+""", *_PERIOD_CTES))
 def replay(spark, sf):
-    """The range stops at its failed month; later months are untouched."""
-    return replayed(spark, sf)[2]
+    """From files to ledger: the range stops at its failed period, and later ones are untouched."""
+    return replayed(spark, sf)[1]
+
+
+_LANDED = " UNION ALL ".join(f"""
+SELECT '{s}' AS source_object, p.delivery_date, count(r.order_id) AS record_count, p.delivery_date = {_FAILED} AND '{s}' = 'payments' AS bad
+FROM periods p LEFT JOIN {_DAILY_SQL[s]} r USING (delivery_date) WHERE p.delivery_date <= {_FAILED} GROUP BY p.delivery_date""" for s in DAILY_SOURCES)
+
+
+@query("ingestion_runs", sql(f"""
+SELECT source_object, delivery_date, CASE WHEN bad THEN 'failed' ELSE 'success' END AS status, CASE WHEN NOT bad THEN record_count END AS record_count, NOT bad AS claimed, TRUE AS legal
+FROM ({_LANDED})
+""", *_PERIOD_CTES))
+def stored_runs(spark, sf):
+    """The stored run rows of a replay, repeated under its id after a crash, with their claims and their row checks."""
+    database, _ = replayed(spark, sf)
+    root, landing = delivered_files(spark, sf, False), historical_ingestion_date(F.col("delivery_date"))
+    replay_files(spark, database, root, periods(spark, sf), landing, STORE, "replay-1", lambda: RUN_CLOCK)
+    runs = spark.table(f"{database}.ingestion_runs")
+    claims = spark.table(f"{database}.landing_manifest").select("landing_path", "delivery_date")
+    day = F.date_sub(F.to_date(F.regexp_extract("landing_path", "ingestion_date=([0-9-]+)", 1)), 1)
+    illegal = violations(runs, run_rules(), ["ingestion_id"]).select("ingestion_id", F.lit(False).alias("legal"))
+    found = runs.join(claims, "landing_path", "left").join(illegal, "ingestion_id", "left")
+    failed = F.lit(FAILED_DAY)
+    return found.select(
+        "source_object", F.when(F.col("landing_path").isNull(), failed).otherwise(F.coalesce("delivery_date", day)).alias("delivery_date"), "status",
+        "record_count", F.col("delivery_date").isNotNull().alias("claimed"), F.coalesce("legal", F.lit(True)).alias("legal"),
+    )
+
+
+_MONTH = "extract(month FROM delivery_date)"
 
 
 @query("apply_plan", sql(f"""
-SELECT delivery_date, CASE WHEN delivery_date < {_FAILED} THEN 0 WHEN delivery_date = {_FAILED} THEN 1 ELSE 4 END AS succeeded,
+SELECT delivery_date, CASE WHEN delivery_date < {_FAILED} THEN 0 WHEN delivery_date = {_FAILED} THEN 1 WHEN {_MONTH} % 4 = 2 THEN 3 ELSE 4 END AS succeeded,
        0 AS failed, CASE WHEN delivery_date < {_FAILED} THEN 4 WHEN delivery_date = {_FAILED} THEN 3 ELSE 0 END AS skipped,
-       0 AS blocked, TRUE AS date_complete
-FROM months
-""", "delivered_orders", "delivered_reviews", "months"))
+       CASE WHEN delivery_date > {_FAILED} AND {_MONTH} % 4 = 2 THEN 1 ELSE 0 END AS blocked, NOT (delivery_date > {_FAILED} AND {_MONTH} % 4 = 2) AS date_complete
+FROM periods
+""", *_PERIOD_CTES))
 def apply(spark, sf):
-    """After the stopped replay, a plan over all months brings every one to completion."""
-    database, outcomes, _ = replayed(spark, sf)
-    pairs = outcomes.select("delivery_date", "source_object")
-    events = spark.table(f"{database}.replay_events")
+    """After the stopped replay and three kinds of crash, a plan over all periods does what each pair needs; all five actions occur.
+
+    Orders behind the stop had landed without a load, were loaded without their success event, or stood in the table without any evidence.
+    """
+    database, _ = replayed(spark, sf)
+    root = delivered_files(spark, sf, True)
+    landing = historical_ingestion_date(F.col("delivery_date"))
+    outcomes = judge(spark, database, root, landing, "crashed-1")
+    late = written_table(deliveries_of(outcomes, STORE).filter((F.col("delivery_date") > F.lit(FAILED_DAY)) & (F.col("source_object") == "orders")), "crashed")
+    kind, stamp = F.month("delivery_date") % 4, Stamps(lambda: RUN_CLOCK + dt.timedelta(hours=1))
+    attempt = attempt_of(stamp())
+    crashed = late.withColumn("provenance_id", derived_id("crashed-1", "artifact", attempt))
+    append_artifacts(crashed.filter(kind.isin(0, 1)), database, "crashed-1", stamp())
+    load_sources(crashed.filter(kind.isin(1, 2)), database, delivered_rows(spark, root, outcomes))
+    append_loads(crashed.filter(kind == 1), database, "crashed-1", attempt, stamp())
+
+    pairs = expected_grid(periods(spark, sf)).select("delivery_date", "source_object")
     artifacts = spark.table(f"{database}.artifact_provenance")
-    loads = spark.table(f"{database}.load_provenance")
     listing = artifacts.select("gcs_uri", "checksum", "file_size_bytes").distinct()
     seen = inspection.artifact_observation(artifacts, listing)
     partitions, counts = None, None
@@ -269,22 +296,12 @@ def apply(spark, sf):
         partitions = listed if partitions is None else partitions.unionByName(listed)
         counts = counted if counts is None else counts.unionByName(counted)
     table_seen = inspection.partition_observation(pairs, partitions, counts, database)
-    plan = recovery.plan(recovery.evidence(pairs, events, artifacts, table_seen))
-    verdicts = reconciliation.reconcile(pairs, loads, artifacts, seen, table_seen)
+    plan = written_table(recovery.plan(recovery.evidence(pairs, spark.table(f"{database}.replay_events"), artifacts, table_seen)), "plan")
+    verdicts = written_table(reconciliation.reconcile(pairs, spark.table(f"{database}.load_provenance"), artifacts, seen, table_seen), "verdicts")
     supplied = plan.filter(F.col("action") == "load_only").join(
         artifacts.select("delivery_date", "source_object", "gcs_uri"), ["delivery_date", "source_object"]
     ).select("delivery_date", "source_object", F.col("delivery_date").alias("artifact_date"), "gcs_uri")
-    mended = outcomes.withColumns({"status": F.lit("success"), "error_message": F.lit(None).cast("string")})
-    results = apply_plan(
-        spark,
-        database,
-        plan,
-        supplied,
-        mended,
-        mended,
-        verdicts,
-        daily_rows(spark, sf).__getitem__,
-        "recovery-1",
-        lambda: RUN_CLOCK + dt.timedelta(days=1),
+    results = recover_files(
+        spark, database, root, plan, written_table(supplied, "supplied"), verdicts, landing, STORE, "recovery-1", lambda: RUN_CLOCK + dt.timedelta(days=1)
     )
     return recovery_summary(spark, database, results)

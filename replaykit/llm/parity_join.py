@@ -254,10 +254,11 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
                 rest = np.delete(group, hub)
                 out_a.append(np.minimum(rest, group[hub]))
                 out_b.append(np.maximum(rest, group[hub]))
-            members[int(mix(group.view(np.uint64)).sum(dtype=np.uint64).astype(np.int64))] = group
+            members.setdefault(int(group[0]), []).append(group)
     pairs = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)], 1), axis=0) if out_a else np.zeros((0, 2), np.int64)
     parts = [pd.DataFrame({"kind": np.int32(0), "a": pairs[:, 0], "b": pairs[:, 1]})]
-    parts += [pd.DataFrame({"kind": np.int32(1), "a": g, "b": group}) for g, group in members.items()]
+    # keys with the same least owner make one group, so near copies, which share many keys, are listed once
+    parts += [pd.DataFrame({"kind": np.int32(1), "a": hub, "b": np.unique(np.concatenate(groups))}) for hub, groups in members.items()]
     return pd.concat(parts, ignore_index=True)
 
 

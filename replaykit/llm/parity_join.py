@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replaykit.session import written_table
@@ -130,11 +130,11 @@ def block_keys(shingles: np.ndarray, band: int, bound: int, wider: int, late: np
     return keys[rank <= np.partition(rank, bound)[bound]]
 
 
-DOC_SCHEMA = "doc_id bigint, n bigint, fp1 bigint, fp2 bigint, wider int, parity binary"
+DOC_SCHEMA = "doc_id bigint, text_digest bigint, n bigint, fp1 bigint, fp2 bigint, wider int, parity binary"
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("wider", pa.int32()), ("parity", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_digest", pa.int64()), ("n", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("wider", pa.int32()), ("parity", pa.binary())])
     for batch in batches:
         rows: list[tuple] = []
         for texts in chunks(batch.column("text")):
@@ -145,7 +145,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         wider += 1
                 rows.append((len(s), *set_digest(s), wider, parity_bits(s)))
         columns = list(zip(*rows, strict=True)) if rows else [()] * 5
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True)]], schema=schema)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_digest"), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[2:], strict=True)]], schema=schema)
 
 
 def _emit(wider: int, buckets: int, late: bytes | None = None):
@@ -345,9 +345,14 @@ def _unconnected(members: DataFrame, classes: DataFrame, roots: DataFrame) -> Da
     ).distinct()
 
 
+def text_digest(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, and ``representative`` (smallest doc_id with the same set)."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """One row per document: doc_id, n_shingles, component_id, ``representative`` (smallest doc_id with the same set), and text_digest."""
+    text = F.col("text").cast("string")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), text_digest(text).alias("text_digest"))
     described = written_table(docs.mapInArrow(_describe, DOC_SCHEMA), "shingle-sets")
     total, wider = described.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("wider"), F.lit(0))).first()
     buckets = max(1, int(total * 0.5 / KEYS_PER_BUCKET))
@@ -378,5 +383,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = placed.select("n", "fp1", "fp2", F.col("rep").alias("representative"), F.coalesce("root", "rep").alias("component_id"))
     full = described.where("n > 0").join(placed, ["n", "fp1", "fp2"])
     empty = described.where("n = 0").withColumn("representative", F.col("doc_id")).withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id", "representative"]
+    columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id", "representative", "text_digest"]
     return full.select(*columns).unionByName(empty.select(*columns))

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from replaykit.session import written_table
+
 TEMPERATURE = 0.7
 SEED = 20240229
 RATE_PER_DRAW = 256.0
@@ -58,7 +60,8 @@ def distributions(rated: DataFrame) -> DataFrame:
 def replicated(docs: DataFrame, rated: DataFrame | None = None, seed: int = SEED) -> DataFrame:
     """All copies of all documents, globally shuffled; ``rated`` holds (_source, rate), by default those of rates()."""
     keep = [c for c in docs.columns if c.lower() not in ("copy", "shuffle_key")]
-    table = distributions(rated if rated is not None else rates(docs))
+    # written, so that Spark knows its size: a few sources are sent to all tasks, and texts move once only
+    table = written_table(distributions(rated if rated is not None else rates(docs)), "source-rates")
     held = docs.select(F.struct(*[docs[c] for c in keep]).alias("_row"), F.coalesce(docs["doc_id"].cast("string"), F.lit("")).alias("_id"), _source(docs).alias("_source"))
     drawn = held.join(table, "_source")
     copies = F.aggregate(

@@ -103,9 +103,22 @@ def test_pipeline_on_edge_cases_and_empty_tables(spark, tmp_path):
     assert run_stages(spark, empty(spark), tmp_path / "none")[-1].count() == 0
 
 
+def test_pipeline_keeps_columns_and_different_texts_of_one_id(spark, tmp_path):
+    """Columns named like those that the stages use come through unchanged; unrelated texts under one doc_id both stay."""
+    names = ["row", "_id", "_own", "own_id", "own_digest", "cut_id", "kept", "copy", "shuffle_key", "text_digest"]
+    rows = [(n, prose(700 + n, 200), "en", "s", 0) for n in range(25)] + [(1, prose(900, 200), "en", "s", 0)]
+    rows += [(50, edited(rows[2][1], 3, 0.01), "en", "s", 0), rows[3]]
+    df = spark.createDataFrame([(*r, *[f"{c}-{i}" for c in names]) for i, r in enumerate(rows)], "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{c}` string" for c in names))
+    _, kept, single, cut, mixed, _ = run_stages(spark, df, tmp_path)
+    assert all(x.columns == df.columns for x in (kept, single, cut, mixed))
+    assert {(r.doc_id, r.text) for r in single.collect()} == {(r[0], r[1]) for r in rows if r[0] != 50} and single.count() == 26
+    values = {tuple(r[c] for c in names) for r in df.collect()}
+    assert all(tuple(r[c] for c in names) in values for r in mixed.collect()) and mixed.count() > 0
+
+
 def test_every_query_is_registered():
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert packing.CAPACITY == 2048

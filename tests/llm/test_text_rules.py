@@ -59,7 +59,7 @@ def test_languages_without_a_reference_are_left_alone(spark):
 
 
 def test_references_are_learned_per_language(spark):
-    rows = [(n, " ".join(["alpha", "beta", f"w{n}"] * 20), "x") for n in range(35)] + [(n, "gamma delta", "y") for n in range(19)]
+    rows = [(n, " ".join(["alpha", "beta", f"w{n}"] * 20), "x") for n in range(35)] + [(n, "gamma delta", "y") for n in range(9)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     common = divergence.common_words(docs)
     assert list(common) == ["x"] and common["x"][:2] == ["alpha", "beta"] and len(common["x"]) == divergence.COMMON

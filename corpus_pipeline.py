@@ -22,33 +22,42 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return divergence.judged(docs).where("kept").select("row.*")
 
 
+def _held(docs: DataFrame) -> DataFrame:
+    """Each row as ``row``, so that no column of it clashes with another name, with its id and the digest of its text."""
+    row = F.struct(*[docs[c] for c in docs.columns])
+    return docs.select(row.alias("row"), docs["doc_id"].cast("bigint").alias("own_id"), parity_join.text_digest(docs["text"].cast("string")).alias("own_digest"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id stays.
 
-    Of rows that repeat a doc_id one stays; rows without doc_id stay.
+    Of rows that repeat both doc_id and text one stays; different texts of one doc_id are judged each by its own links, and so are
+    rows without doc_id, which stay.
     """
     placed = parity_join.near_duplicates(docs)
-    staying = placed.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(staying, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    staying = placed.where("doc_id = component_id").select(F.col("doc_id").alias("own_id"), F.col("text_digest").alias("own_digest")).distinct()
+    held = _held(docs)
+    named = held.join(staying, ["own_id", "own_digest"], "left_semi").dropDuplicates(["own_id", "own_digest"])
+    return named.select("row").unionByName(held.where("own_id IS NULL").select("row")).select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes in strings that occur elsewhere too are cut from the texts; no document goes."""
     cut = suffix_dedup.cuts(docs, want_text=True).where("n_removed > 0")
-    cut = cut.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("kept").alias("_kept"))
-    digest = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    joined = docs.withColumn("_own", digest).join(cut, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left")
-    text = F.when(F.col("_digest").isNotNull(), F.col("_kept")).otherwise(F.col("text"))
-    changed = {"text": text}
+    cut = cut.select(F.col("doc_id").alias("cut_id"), F.col("digest").alias("cut_digest"), "kept")
+    same = F.col("own_id").eqNullSafe(F.col("cut_id")) & (F.col("own_digest") == F.col("cut_digest"))
+    joined = _held(docs).join(cut, same, "left")
+    was_cut, row = F.col("cut_digest").isNotNull(), F.col("row")
+    changed = {"text": F.when(was_cut, F.col("kept")).otherwise(row["text"])}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_digest").isNotNull(), F.length("_kept").cast("bigint")).otherwise(F.col("n_chars"))
-    return joined.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+        changed["n_chars"] = F.when(was_cut, F.length("kept").cast("bigint")).otherwise(row["n_chars"])
+    return joined.select(*[changed.get(c, row[c]).alias(c) for c in docs.columns])
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are replicated to their target weights and shuffled."""
-    return poisson_mix.replicated(docs).select(*docs.columns)
+    row = F.struct(*[docs[c] for c in docs.columns])
+    return poisson_mix.replicated(docs.select(row.alias("row"), "doc_id", "source")).select("row.*")
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ forms and comments are left out by element, role and class words.  The blocks of
 mark all blocks, are its content, and page differencing decides on them: pages are sorted by host and URL path, each is paired
 with the nearest page before or after it whose path shares more leading segments, their blocks are aligned by longest common
 subsequence, and shared blocks are deleted as part of the site.  A page of the same content (by digest) is a copy and no
-partner: the next page of the host that is none takes its place.  An article is compared with pages that mark one too.
+partner: the next page of the host that is none takes its place.  An article is compared with pages that mark one too, and loses
+a line only if the pages on both sides have it and no two of the three are editions of one article.
 
 Sorting is by range, so a host with a third of all pages is spread over many tasks.  The pages that a range needs from other
 ranges, eight at most, are found on keys and digests first and join it as guests, so texts do not depend on the ranges.
@@ -39,6 +40,9 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hr html li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Pages that have more of the shorter article's lines in common are editions of one article.
+EDITION = 0.8
 CLASS_WORDS = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adbox|sponsor\w*|promo\w*|banner\w*|sidebar\w*|menu\w*|nav|navbar|navigation|breadcrumb\w*|comments?|commentlist|"
     r"respond|disqus\w*|cookie\w*|consent|notice\w*|alert|popup|modal|overlay|newsletter|subscribe|signup|share|sharing|social|related|"
@@ -58,6 +62,7 @@ _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"
 class Block(NamedTuple):
     text: str
     main: bool
+    heading: bool = False
 
 
 def _hidden(name: str, attributes: str, in_main: bool) -> bool:
@@ -84,7 +89,7 @@ def blocks(page: str) -> list[Block]:
     def flush() -> None:
         text = " ".join("".join(held).split())
         if text:
-            out.append(Block(text, bool(open_) and open_[-1][2]))
+            out.append(Block(text, bool(open_) and open_[-1][2], any(e[0] in HEADINGS for e in open_)))
         held.clear()
 
     def say(text: str) -> None:
@@ -181,14 +186,32 @@ def _content(blocks_: list[Block]) -> list[str]:
     return [b.text for b in blocks_ if b.main] or [b.text for b in blocks_]
 
 
+def _common(a: Page, b: Page) -> tuple[set[int], bool]:
+    """Places of a's content that b has too, and whether the two are editions of one article."""
+    lines, others = _content(a.blocks), _content(b.blocks)
+    shared = common_lines(lines, [x.text for x in b.blocks])
+    return shared, len(common_lines(lines, others)) > EDITION * min(len(lines), len(others))
+
+
 def main_text(page: Page, before: Page | None, after: Page | None) -> str:
-    """What the nearest page does not share of the content."""
+    """What near pages do not share of the content.
+
+    On a page without a marked article the nearest page decides.  Inside a marked article a line goes only if the pages on
+    both sides have it, neither is an edition of this page and they are none of each other, and headings stay.
+    """
     lines = _content(page.blocks)
-    near = max((before, after), key=lambda other: _nearness(page, other))
-    if _nearness(page, near) >= 0:
-        shared = common_lines(lines, [b.text for b in near.blocks])
-        lines = [x for i, x in enumerate(lines) if i not in shared]
-    return "\n\n".join(lines)
+    partners = [p for p in (before, after) if _nearness(page, p) >= 0]
+    gone: set[int] = set()
+    if any(b.main for b in page.blocks):
+        if len(partners) == 2:
+            (left, same_left), (right, same_right) = (_common(page, p) for p in partners)
+            if left & right and not same_left and not same_right and not _common(*partners)[1]:
+                headings = {i for i, b in enumerate([b for b in page.blocks if b.main]) if b.heading}
+                gone = (left & right) - headings
+    elif partners:
+        near = max(partners, key=lambda other: _nearness(page, other))
+        gone = common_lines(lines, [b.text for b in near.blocks])
+    return "\n\n".join(x for i, x in enumerate(lines) if i not in gone)
 
 
 class Sight(NamedTuple):

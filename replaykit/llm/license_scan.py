@@ -9,6 +9,9 @@ reaches the containment limit.  A window that shares a band with a template is v
 Templates are whole license texts, short notices, license lines and SPDX tags, near variants as templates of their own.
 Of matches of different licenses at the same places the best wins: the one with most shingles times containment.
 
+What tells licenses apart, names and versions, is not left to the containment: a short template
+matches only where all its shingles with such words stand.
+
 Null and empty texts match nothing.  Each row is scanned by itself, in windows, so long texts need no more memory than
 their own shingles.
 """
@@ -30,6 +33,12 @@ WORDS = 3
 BANDS = 40
 CONTAINMENT = 0.75
 SIEVE = 1 << 14
+# Of templates up to so many words, every shingle with a word that tells licenses apart, or with a digit, must be held.
+NOTICE_WORDS = 64
+TELLING = frozenset(
+    "gnu affero lesser library general apache mozilla eclipse boost artistic mit isc bsd zlib unlicense clause cc by nc nd sa cc0 "
+    "attribution noncommercial noderivatives sharealike only later".split()
+)
 # The wording of common license notices; whole texts are in the folder licenses.
 NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -67,13 +76,16 @@ NAMES = {
     "CC-BY-ND-4.0": ("Creative Commons Attribution-NoDerivatives 4.0 International License", "CC BY-ND 4.0"),
     "CC-BY-SA-3.0": ("Creative Commons Attribution-ShareAlike 3.0 Unported License", "CC BY-SA 3.0"),
     "CC-BY-SA-4.0": ("Creative Commons Attribution-ShareAlike 4.0 International License", "CC BY-SA 4.0"),
+    "CC-BY-SA-2.0": ("Creative Commons Attribution-ShareAlike 2.0 Generic License", "CC BY-SA 2.0"),
     "EPL-2.0": ("Eclipse Public License 2.0", "Eclipse Public License, version 2.0"),
+    "GPL-1.0": ("GNU General Public License, version 1",),
     "GPL-2.0": ("GNU General Public License, version 2",),
     "GPL-3.0": ("GNU General Public License, version 3",),
     "ISC": ("ISC License",),
     "LGPL-2.1": ("GNU Lesser General Public License, version 2.1",),
     "LGPL-3.0": ("GNU Lesser General Public License, version 3",),
     "MIT": ("MIT License",),
+    "MPL-1.1": ("Mozilla Public License, version 1.1",),
     "MPL-2.0": ("Mozilla Public License, version 2.0",),
 }
 LINES = ("This work is licensed under the {}.", "This work is licensed under a {}.", "Licensed under the {}.", "Licensed under {}.", "Released under the {}.")
@@ -92,6 +104,7 @@ def _table() -> tuple[tuple[str, str], ...]:
 TEMPLATES = _table()
 GAP = np.ones(256, bool)
 GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
+_SPACED = bytes(0x20 if GAP[b] else b for b in range(256))
 _WEIGHTS = mix(np.arange(101, 101 + WORDS, dtype=np.uint64)) | np.uint64(1)
 _FACTORS = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 
@@ -116,15 +129,27 @@ def shingles(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return mix(rolled[np.cumsum(inside[:-1]) > 0]), np.concatenate(([0], np.cumsum(counts)))
 
 
+def required(text: str, values: np.ndarray) -> np.ndarray:
+    """Shingles that an occurrence of a notice or line must hold; ``values`` are its shingles in order.  Whole texts have none."""
+    words = [w.decode() for w in ASCII_LOWER[np.frombuffer(text.encode(), np.uint8)].tobytes().translate(_SPACED).split()]
+    if len(words) > NOTICE_WORDS:
+        return values[:0]
+    telling = [w in TELLING or any(c.isdigit() for c in w) for w in words]
+    return np.unique(values[[any(telling[i : i + WORDS]) for i in range(len(values))]])
+
+
 class Templates:
-    """Template shingle sets by window class, with their band values."""
+    """Template shingle sets by window class, with their band values and required shingles."""
 
     def __init__(self, templates: tuple[tuple[str, str], ...]):
         self.classes: dict[int, list[tuple[str, np.ndarray, np.ndarray]]] = defaultdict(list)
+        self.needed: dict[int, list[np.ndarray]] = defaultdict(list)
         for name, text in templates:
             column = pa.array([text])
-            own = np.unique(next(shingles(t) for t in chunks(column))[0])
+            values = next(shingles(t) for t in chunks(column))[0]
+            own = np.unique(values)
             if len(own):
+                self.needed[len(own).bit_length() - 1].append(required(text, values))
                 self.classes[len(own).bit_length() - 1].append((name, own, (own[None, :] * _FACTORS[:, None]).min(axis=1)))
 
         # per class and band: values by template, and a sieve on their low bits
@@ -165,7 +190,7 @@ class Templates:
                 name, own, _ = self.classes[k][t]
                 inside = values[starts[w] : ends[w]]
                 held = np.isin(own, inside).sum() / len(own)
-                if held >= CONTAINMENT:
+                if held >= CONTAINMENT and np.isin(self.needed[k][t], inside).all():
                     places = np.flatnonzero(np.isin(inside, own)) + starts[w] - bounds[owner[w]]
                     yield int(owner[w]), name, int(starts[w] - bounds[owner[w]]), float(held), places
 

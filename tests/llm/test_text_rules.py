@@ -4,10 +4,13 @@ import hashlib
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from replaykit.llm import divergence, html_text, language_id, license_scan, merkle
 
+from replaykit.llm.textbytes import chunks
+
 from .corpora import documents, empty, prose, texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -287,3 +290,24 @@ def test_short_articles_copies_and_edges_of_ranges_equal_brute_force(spark):
             assert len(out) == len(rows) and {r.page_id: r.text for r in out} == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
+@pytest.mark.parametrize(
+    ("text", "licenses"),
+    [
+        ("This work is licensed under the Mozilla Public License, version 1.1.", "MPL-1.1"),
+        ("This work is licensed under the GNU General Public License, version 1.", "GPL-1.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 2.", ""),
+        ("it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 2 of the License", ""),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 2.0 Unported License.", ""),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+        ("it under some terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License", "GPL-3.0"),
+        ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    ],
+)
+def test_names_and_versions_of_licenses_are_held_exactly(text, licenses):
+    known = license_scan.Templates(license_scan.TEMPLATES)
+    padded = f"{prose(3, 40)} . {text} {prose(4, 40)}"
+    column = pa.array([padded])
+    found = {name for texts_ in chunks(column) for _, name, _, _ in known.best(*license_scan.shingles(texts_))}
+    assert found == ({licenses} if licenses else set())

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,7 +148,13 @@ def replace_partitions(rows: DataFrame, database: str, source_object: str, days:
     observed = kept.observe(seen, F.collect_set(PARTITION).alias("days"))
     ordered = observed.hint("rebalance", PARTITION).sortWithinPartitions(PARTITION)
     ordered.write.mode("overwrite").insertInto(table)
-    filled = set(seen.get.get("days") or ())
+    try:
+        filled = set(seen.get.get("days") or ())
+    except Py4JJavaError:
+        # where Spark finds at run time that there are no rows, it takes the observation out of the plan
+        if not kept.isEmpty():
+            raise
+        filled = set()
     clear_partitions(spark, table, [day for day in wanted if day not in filled])
     return table
 

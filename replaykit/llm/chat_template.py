@@ -385,22 +385,47 @@ def compile_template(template: str) -> Callable[[Iterable[dict], Emit], None]:
     return lambda messages, emit: run({"messages": messages}, emit, False)
 
 
+class Formatted:
+    """Formatted text as it is written, with the spans under the loss mask as offsets into the whole of it."""
+
+    def __init__(self):
+        self.pieces: list[str] = []
+        self.spans: list[tuple[int, int]] = []
+        self.start = self.end = 0
+
+    def emit(self, piece: str, masked: bool) -> None:
+        if masked:
+            self.spans.append((self.end, self.end + len(piece)))
+        self.pieces.append(piece)
+        self.end += len(piece)
+
+    def drain(self) -> tuple[str, list[tuple[int, int]]]:
+        """The text since the last call and its spans; offsets go on counting."""
+        out = "".join(self.pieces), self.spans
+        self.pieces, self.spans, self.start = [], [], self.end
+        return out
+
+
 class ReadBack:
-    """Reads formatted text, fed piece by piece, back into turns, and digests what it finds."""
+    """Reads formatted text back into turns and loss texts, and digests what it finds.
+
+    All it is given is the output: text in consecutive parts, and the spans of each part as offsets into the whole text.
+    """
 
     def __init__(self):
         self.rest, self.n_turns, self.n_chars, self.loss_chars = "", 0, 0, 0
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
 
-    def feed(self, piece: str, masked: bool) -> None:
-        self.n_chars += len(piece)
-        if masked:
-            text = unescape(piece)
+    def feed(self, part: str, spans: list[tuple[int, int]]) -> None:
+        for a, b in spans:
+            if not self.n_chars <= a <= b <= self.n_chars + len(part):
+                raise ValueError("a span lies outside its part of the text")
+            text = unescape(part[a - self.n_chars : b - self.n_chars])
             self.loss_chars += len(text)
             self.loss.update(text.encode("utf-8", "surrogatepass"))
-        self.rest += piece
-        while END in self.rest:
-            turn, self.rest = self.rest.split(END, 1)
+        self.n_chars += len(part)
+        *turns, self.rest = (self.rest + part).split(END)
+        for turn in turns:
             head, text = turn.split(SAYS, 1)
             if not head.startswith(TURN):
                 raise ValueError("a turn has no beginning")
@@ -408,6 +433,7 @@ class ReadBack:
             self.n_turns += 1
 
 
+PART_CHARS = 1 << 20
 DIGEST_SCHEMA = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
 
 
@@ -422,8 +448,15 @@ def _digest(template: str):
         render = compile_template(template)
         out = []
         for conv_id, rows in groupby(_records(batches), key=lambda r: r[0]):
-            back = ReadBack()
-            render(({"role": role or "", "text": text or ""} for _, role, text in rows), back.feed)
+            written, back = Formatted(), ReadBack()
+
+            def emit(piece: str, masked: bool, written: Formatted = written, back: ReadBack = back) -> None:
+                written.emit(piece, masked)
+                if written.end - written.start >= PART_CHARS:
+                    back.feed(*written.drain())
+
+            render(({"role": role or "", "text": text or ""} for _, role, text in rows), emit)
+            back.feed(*written.drain())
             if back.rest:
                 raise ValueError("the output does not end with a whole turn")
             out.append((conv_id, back.n_turns, back.turns.hexdigest(), back.loss_chars, back.loss.hexdigest(), back.n_chars))
@@ -445,19 +478,10 @@ def _render(template: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         render = compile_template(template)
         for conv_id, rows in groupby(_records(batches), key=lambda r: r[0]):
-            pieces: list[str] = []
-            spans: list[tuple[int, int]] = []
-            length = 0
-
-            def emit(piece: str, masked: bool) -> None:
-                nonlocal length
-                if masked:
-                    spans.append((length, length + len(piece)))
-                pieces.append(piece)
-                length += len(piece)
-
-            render(({"role": role or "", "text": text or ""} for _, role, text in rows), emit)
-            yield pd.DataFrame({"conv_id": pd.array([conv_id], "Int64"), "formatted": ["".join(pieces)], "loss_spans": [[list(s) for s in spans]]})
+            written = Formatted()
+            render(({"role": role or "", "text": text or ""} for _, role, text in rows), written.emit)
+            text, spans = written.drain()
+            yield pd.DataFrame({"conv_id": pd.array([conv_id], "Int64"), "formatted": [text], "loss_spans": [[list(s) for s in spans]]})
 
     return run
 
@@ -474,5 +498,8 @@ def formatted(conversations: DataFrame, template: str = DEFAULT_TEMPLATE) -> Dat
 
 
 def digests(conversations: DataFrame, template: str = DEFAULT_TEMPLATE) -> DataFrame:
-    """What reading the formatted text back gives, per conversation."""
+    """What reading the formatted text and its loss spans back gives, per conversation.
+
+    A conversation is written and read in parts of about PART_CHARS characters, so only one turn of it must fit in memory.
+    """
     return _in_turn_order(conversations).mapInPandas(_digest(template), DIGEST_SCHEMA)

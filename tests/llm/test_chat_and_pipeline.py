@@ -34,6 +34,28 @@ def test_round_trip(spark):
     assert chat.digests(none).count() == 0
 
 
+def test_parts_of_any_size_read_the_same(monkeypatch):
+    import pandas as pd
+
+    rows = [(1, ("user", "assistant", chat.SAYS)[i % 3], NASTY[i % len(NASTY)]) for i in range(24)] + [(2, "assistant", "a")]
+    frame = pd.DataFrame(rows, columns=["conv_id", "role", "text"])
+    seen = []
+    for size in (1, 7, 1000, 1 << 30):
+        monkeypatch.setattr(chat, "PART_CHARS", size)
+        seen.append(pd.concat(chat._digest(chat.DEFAULT_TEMPLATE)(iter([frame[:5], frame[5:]]))).values.tolist())
+    assert len(seen[0]) == 2 and all(x == seen[0] for x in seen)
+
+
+def test_loss_is_cut_from_the_text_by_spans_alone():
+    text = chat.TURN + "assistant" + chat.SAYS + chat.escape("a<b") + chat.END
+    at = len(chat.TURN + "assistant" + chat.SAYS)
+    back = chat.ReadBack()
+    back.feed(text, [(at, len(text) - len(chat.END))])
+    assert (back.n_turns, back.loss_chars, back.loss.hexdigest()) == (1, 3, hashlib.sha256(b"a<b").hexdigest())
+    with pytest.raises(ValueError, match="outside"):
+        back.feed("x", [(0, 1)])
+
+
 def render(template, messages=(), **scope):
     out = []
     chat._sequence(chat.fold_body(chat.parse(template)))({"messages": messages, **scope}, lambda text, masked: out.append((text, masked)), False)

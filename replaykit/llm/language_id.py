@@ -4,8 +4,9 @@ Per language an order-4 model is fitted on a bounded sample of labelled document
 symbols in one number; models are arrays sorted by it.  All grams seen in any language share one array with a column
 of log probabilities per language, so scoring looks each place of a text up once; unseen grams back off through
 the arrays of contexts and shorter grams.  The language with the lowest cross-entropy per character wins; the
-score is its share in a softmax of the code lengths.  Rejection is calibrated on the sample: a text whose
-cross-entropy lies above the mean of its language by REJECT_DEVIATIONS standard deviations is flagged.
+score is its share in a softmax of the code lengths.  Rejection is calibrated on a tenth of the sample, chosen by
+the text so that copies stay together, which no model is fitted on: a text whose cross-entropy lies above the mean of its language there by
+REJECT_DEVIATIONS standard deviations is flagged.  A language with fewer than CALIBRATION_LEAST such texts rejects nothing.
 
 Text that is null or has no letter is ``und`` with score 0.  Ties go to the language first in order.  Rows are judged one by
 one.  Without any labelled row every text is ``und``.
@@ -28,6 +29,8 @@ SAMPLE_DOCUMENTS = 1500
 CODE_CHARACTERS = 50
 REJECT_DEVIATIONS = 6.0
 REJECT_CHARACTERS = 40
+CALIBRATION_EVERY = 10
+CALIBRATION_LEAST = 5
 UNKNOWN = "und"
 STEP_BYTES = 1 << 20
 _SUFFIX = [np.uint64((1 << (16 * k)) - 1) for k in range(ORDER + 1)]
@@ -224,8 +227,9 @@ def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Model |
     rows = _rows(docs).where("NOT held_out AND doc_id IS NOT NULL AND lang IS NOT NULL")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     picked = rows.select("doc_id", "lang").distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample_documents)
-    sample = rows.join(F.broadcast(picked.select("doc_id", "lang")), ["doc_id", "lang"]).select("doc_id", "lang", "text", "held_out")
-    found = sample.select("lang", "text").mapInArrow(_count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    apart = (F.pmod(F.xxhash64("text"), F.lit(CALIBRATION_EVERY)) == 0) & (F.col("place") > 1)  # each language has a document to learn from
+    sample = rows.join(F.broadcast(picked), ["doc_id", "lang"]).select("doc_id", "lang", "text", "held_out", apart.alias("apart"))
+    found = sample.where("NOT apart").select("lang", "text").mapInArrow(_count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     langs = np.array(found.column("lang").to_pylist(), object)
     keys, counts = found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy()
     counted = {}
@@ -237,9 +241,10 @@ def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Model |
         return None
     model = fit(counted)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    scored = sample.withColumn("has_letter", F.col("text").rlike(r"\p{L}")).drop("lang").mapInArrow(_predict(shared), PREDICTED_SCHEMA)
-    spread = {r[0]: r[1] + REJECT_DEVIATIONS * r[2] for r in scored.where(F.col("lang_pred") != UNKNOWN).groupBy("lang_pred").agg(F.avg("bits_per_char"), F.coalesce(F.stddev_pop("bits_per_char"), F.lit(0.0))).collect()}
-    return model._replace(limits=np.array([spread.get(x, np.inf) for x in model.languages]))
+    scored = sample.where("apart").withColumn("has_letter", F.col("text").rlike(r"\p{L}")).drop("lang", "apart").mapInArrow(_predict(shared), PREDICTED_SCHEMA)
+    measured = scored.where(F.col("lang_pred") != UNKNOWN).groupBy("lang_pred").agg(F.avg("bits_per_char"), F.stddev_pop("bits_per_char"), F.count("*"))
+    limits = {lang: mean + REJECT_DEVIATIONS * spread for lang, mean, spread, n in measured.collect() if n >= CALIBRATION_LEAST}
+    return model._replace(limits=np.array([limits.get(x, np.inf) for x in model.languages]))
 
 
 def predicted(docs: DataFrame, model: Model | None) -> DataFrame:

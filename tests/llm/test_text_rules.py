@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -130,6 +131,7 @@ def test_languages_are_told_apart_on_held_out_rows(spark, languages):
     truth = {r[0]: r[2] for r in rows}
     held = [r for r in got if r.held_out and r.doc_id is not None and r.doc_id < 9000]
     assert len(held) > 10 and all(r.lang_pred == truth[r.doc_id] for r in held)
+    assert not any(r.rejected for r in held) and np.isfinite(model.limits).all()
     by = {r.doc_id: r for r in got}
     for i in (9001, 9002, 9003):
         assert (by[i].lang_pred, by[i].score) == ("und", 0.0)
@@ -138,8 +140,6 @@ def test_languages_are_told_apart_on_held_out_rows(spark, languages):
 
 
 def test_character_models_are_distributions(languages):
-    import numpy as np
-
     counted = {x: np.unique(np.concatenate([language_id.grams(language_id.symbols(t)) for t in ts]), return_counts=True) for x, ts in languages.items()}
     model = language_id.fit(counted)
     letters = np.unique(np.concatenate([k & np.uint64(0xFFFF) for k, _ in counted.values()]))
@@ -149,6 +149,20 @@ def test_character_models_are_distributions(languages):
         assert np.all(p > 0.9) and np.all(p < 1.001)  # the rest is for unseen letters
 
 
+def test_ties_between_languages_go_to_the_first():
+    counted = np.unique(language_id.grams(language_id.symbols("lorem ipsum dolor sit amet " * 9)), return_counts=True)
+    model = language_id.fit({"q": counted, "p": counted})
+    h, _ = language_id.entropies(model, ["lorem", "zzz", ""])
+    assert model.languages == ["p", "q"] and (h[:, 0] == h[:, 1]).all() and (np.argmin(h, axis=1) == 0).all()
+
+
+def test_few_or_equal_texts_still_teach_a_language_and_reject_nothing(spark):
+    rows = [(i, "lorem ipsum dolor sit amet", "aa") for i in range(40)] + [(100, "schtz keit über", "bb"), (101, None, "bb"), (102, None, "cc")]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert {"aa"} <= set(model.languages) <= {"aa", "bb", "cc"}
+    assert not np.isfinite([x for lang, x in zip(model.languages, model.limits, strict=True) if lang != "aa"]).any()
+
+
 def test_language_of_an_empty_table(spark):
     assert language_id.train(empty(spark)) is None
     assert language_id.predicted(documents(spark), None).where("lang_pred <> 'und'").count() == 0

@@ -1,8 +1,8 @@
 """Quality rules: distance of a document's histograms from references of its language.
 
 Two histograms describe a text: character classes, and the common words of a language beside all other words.  The common words
-of a language are its most frequent ones, learned from a bounded sample of its documents; a reference is the sum of the histograms of all
-documents of a language that pass the base rules, so it is counted over the whole table.  A document is judged by its Jensen-Shannon distance (square root
+of a language are its most frequent ones over all its documents; a reference is the sum of the histograms of all
+documents of a language that pass the base rules.  Both are counted over the whole table.  A document is judged by its Jensen-Shannon distance (square root
 of the divergence in bits, 0 to 1) from the reference of its own language, or from the nearest one where its language is unknown.  A language of fewer than
 LEAST_DOCUMENTS documents has no reference, and its documents are judged by the base rules alone.  Short texts have noisy histograms, so each
 distance has a least length below which it decides nothing.  DataFrame functions only.
@@ -28,7 +28,6 @@ BLANKS, MARKS = 3, 6
 PUNCTUATION = r"[.,;:!?#*$%&|<>]+"
 COMMON = 20  # words of a language that its histogram tells apart
 LONGEST = 12
-SAMPLE_DOCUMENTS = 3000  # of a language, from which its common words are taken
 LEAST_DOCUMENTS = 10  # a language with fewer has no reference
 LANGUAGES = 200  # with references at most, the most frequent ones
 
@@ -42,10 +41,10 @@ class Limits(NamedTuple):
     word_guard: int = 120
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """Each row as ``row``, with its text, lang, base figures and character classes."""
+def measured(docs: DataFrame, carried: list[str] | None = None) -> DataFrame:
+    """Each row as ``row``, of its ``carried`` columns or of all, with its text, lang, base figures and character classes."""
     lang = docs["lang"] if "lang" in docs.columns else F.lit(None).cast("string")
-    docs = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].alias("text"), lang.alias("lang"))
+    docs = docs.select(F.struct(*[docs[c] for c in carried or docs.columns]).alias("row"), docs["text"].alias("text"), lang.alias("lang"))
     text = F.coalesce("text", F.lit(""))
     trimmed = F.trim(text, F.lit(WHITE))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_GAP, -1))
@@ -117,9 +116,9 @@ def plain_word(word: Column) -> Column:
 
 
 def common_words(docs: DataFrame) -> dict[str, list[str]]:
-    """The most frequent words of each language, most frequent language first.
+    """The most frequent words of each language over all its documents, most frequent language first.
 
-    They are taken from about SAMPLE_DOCUMENTS documents of a language, chosen by a hash of the text.  At most COMMON words of LANGUAGES languages come to
+    Words are counted as they stand, so that each different one is made plain once.  At most COMMON words of LANGUAGES languages come to
     the driver.
     """
     named = docs.where("lang IS NOT NULL")
@@ -127,12 +126,12 @@ def common_words(docs: DataFrame) -> dict[str, list[str]]:
     rows = sizes.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     if not rows:
         return {}
-    share = F.lit(0)
-    for r in rows:
-        share = F.when(F.col("lang") == r["lang"], min(1000, 1 + 1000 * SAMPLE_DOCUMENTS // r["n"])).otherwise(share)
-    picked = named.where(F.pmod(F.xxhash64("text"), F.lit(1000)) < share).select("lang", F.explode(F.split("text", WORD_GAP)).alias("word"))
-    words = picked.select("lang", plain_word(F.col("word")).alias("word")).where((F.length("word") > 0) & (F.length("word") <= LONGEST))
-    counts = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
+    standing = named.where(F.col("lang").isin([r["lang"] for r in rows])).select("lang", F.explode(F.split("text", WORD_GAP)).alias("word"))
+    # what is too long and has nothing to lose stays too long
+    short = standing.where((F.length("word") <= LONGEST) | F.col("word").rlike(PUNCTUATION))
+    words = short.groupBy("lang", "word").agg(F.count("*").alias("n")).select("lang", plain_word(F.col("word")).alias("word"), "n")
+    # the length is an aggregate, as a filter on the word itself would be applied to every word before the first count
+    counts = words.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.max(F.length("word")).alias("length")).where(F.col("length").between(1, LONGEST))
     ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("rank") <= COMMON)
     out: dict[str, list[str]] = {r["lang"]: [] for r in rows}
     for r in sorted(ranked.collect(), key=lambda r: (r["lang"], r["rank"])):
@@ -148,15 +147,15 @@ def _mine(known: Column) -> Column:
 def histograms(df: DataFrame, common: dict[str, list[str]]) -> DataFrame:
     """Add, for each language that the row is judged by, how often each of its common words stands in the text, and last the number of all other words."""
     vocabulary = F.array(*[F.struct(F.lit(lang).alias("lang"), F.array(*map(F.lit, words)).alias("words")) for lang, words in common.items()])
-    # each word stands between blanks of its own, so that counting by removal misses no neighbour
-    spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.array_join("_words", "  ")), PUNCTUATION, ""), F.lit(" "))
-    hits = lambda words: F.transform(
-        words, lambda w: (F.length("_spaced") - F.length(F.replace(F.col("_spaced"), F.concat(F.lit(" "), w, F.lit(" "))))) / (F.length(w) + 2.0)
-    )
+    plain = F.split(F.regexp_replace(F.lower(F.array_join("_words", " ")), PUNCTUATION, ""), " ", -1)
+    places = lambda words: F.filter(F.transform("_plain", lambda x: F.array_position(words, x)), lambda at: at > 0)
+    times = lambda found, words: F.transform(words, lambda w, i: (F.size(found) - F.size(F.array_remove(found, i.cast("bigint") + 1))).cast("double"))
+    # the inner array of one element names the places, which are looked up once for all words
+    hits = lambda words: F.get(F.transform(F.array(places(words)), lambda found: times(found, words)), F.lit(0))
     with_rest = lambda h: F.concat(h, F.array(F.col("n_words") - _total(h)))
     counted = F.transform(F.transform(_mine(vocabulary), lambda r: hits(r["words"])), with_rest)
     none = F.array().cast("array<array<double>>")
-    return df.withColumn("_spaced", spaced).withColumn("_hits", counted if common else none).drop("_spaced", "_words")
+    return df.withColumn("_plain", plain).withColumn("_hits", counted if common else none).drop("_plain", "_words")
 
 
 def _total(counts: Column) -> Column:
@@ -193,12 +192,12 @@ def distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(_entropy(middle) - (_entropy(p) + _entropy(q)) / 2, F.lit(0.0)))
 
 
-def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def judged(docs: DataFrame, limits: Limits = Limits(), carried: list[str] | None = None) -> DataFrame:
     """``row`` with base figures, both distances (null where no reference is at hand) and ``kept``.
 
-    The figures are written once: the references are sums over all of them.
+    ``carried`` names the columns that ``row`` needs, so that a caller without use for the texts does not have them written.  The figures are written once: the references are sums over all of them.
     """
-    step = measured(docs)
+    step = measured(docs, carried)
     common = common_words(step.select("lang", "text"))
     figures = written_table(histograms(step, common).drop("text"), "quality-figures")
     fitted = references(figures, common)

@@ -71,7 +71,7 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op8_divergence_rules")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
-    judged = divergence.judged(table(spark, sf, "documents").select("doc_id", "text", "lang"))
+    judged = divergence.judged(table(spark, sf, "documents").select("doc_id", "text", "lang"), carried=["doc_id"])
     return judged.selectExpr("row.doc_id AS doc_id", "* EXCEPT (row)")
 
 

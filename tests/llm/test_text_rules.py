@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from replaykit.llm import divergence, html_text, language_id, license_scan, merkle
 
@@ -69,6 +70,15 @@ def test_references_are_learned_per_language(spark):
     assert list(common) == ["x"] and common["x"][:2] == ["alpha", "beta"] and len(common["x"]) == divergence.COMMON
 
 
+def test_common_words_are_counted_over_all_documents(spark):
+    """Forty words of nearly equal frequency in more documents than any sample of them would hold."""
+    words = [F.when(F.pmod(F.xxhash64("id", F.lit(j)), F.lit(1000)) < 500, f"word{j}") for j in range(40)]
+    docs = spark.range(8000).select(F.concat_ws(" ", F.concat(F.lit("u"), "id"), *words, F.lit("averyveryverylongword")).alias("text"), F.lit("x").alias("lang"))
+    counts = docs.select(F.explode(F.split("text", " ")).alias("word")).where("word LIKE 'word%'").groupBy("word").count().collect()
+    expected = sorted(counts, key=lambda r: (-r["count"], r["word"]))[: divergence.COMMON]
+    assert divergence.common_words(docs)["x"] == [r["word"] for r in expected]
+
+
 def test_quality_of_an_empty_table_and_without_languages(spark):
     assert divergence.judged(empty(spark)).count() == 0
     df = documents(spark).drop("lang", "source", "n_chars")

@@ -46,6 +46,7 @@ TWIN = 1 << 31
 ENTRY_BYTES = 14
 SAMPLES_PER_BUCKET = 700_000
 GROUP_LIMIT = 4096
+CONTEXTS_AT_ONCE = 2048  # whose windows a task holds at a time, and those of the last one's core
 KEY_MASK = np.uint64((1 << 40) - 1)
 
 
@@ -250,6 +251,10 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The context bytes of the samples that must be looked at."""
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
     names = ["core", "doc_id", "digest", "low", "lead", "context"]
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
     for batch in batches:
         rows = []
         for i in range(batch.num_rows):
@@ -263,8 +268,11 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for p, c in zip(places.tolist(), core.view(np.int64).tolist(), strict=True):
                 low = max(p - V + 1, 0)
                 rows.append((c, doc, digest, low, p - low, raw[low : p + WINDOW]))
-        columns = list(zip(*rows, strict=True)) if rows else [()] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+                if len(rows) >= CONTEXTS_AT_ONCE:
+                    yield packed(rows)
+                    rows = []
+        if rows:
+            yield packed(rows)
 
 
 RUN_SCHEMA = "doc_id bigint, digest bigint, first bigint, last bigint"
@@ -315,20 +323,36 @@ def _runs(rows: pd.DataFrame, row: np.ndarray, start: np.ndarray) -> pd.DataFram
 
 
 def _resolve(rows: pd.DataFrame) -> pd.DataFrame:
-    """Repeated windows among the contexts of a bucket of cores."""
+    """Repeated windows among the contexts of a bucket of cores.
+
+    A window's value is made of its core too, so whole cores are looked at in turn, however many contexts the bucket holds.
+    """
     rows = rows.sort_values("core", kind="stable", ignore_index=True)
-    row, start, value = _windows(rows)
-    hit = _repeated(value)
-    return _runs(rows, row[hit], start[hit])
+    out = []
+    for low, high in _slices(rows["core"].to_numpy()):
+        part = rows.iloc[low:high].reset_index(drop=True)
+        row, start, value = _windows(part)
+        hit = _repeated(value)
+        out.append(_runs(part, row[hit], start[hit]))
+    return pd.concat(out, ignore_index=True)
+
+
+def _slices(core: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of about CONTEXTS_AT_ONCE sorted rows that part no core."""
+    starts = np.flatnonzero(np.concatenate(([True], core[1:] != core[:-1])))
+    kept = starts[np.concatenate(([True], np.diff(starts // CONTEXTS_AT_ONCE) > 0))]
+    return list(zip(kept.tolist(), np.append(kept[1:], len(core)).tolist(), strict=True))
 
 
 def _scatter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Windows of crowded cores, one row each."""
-    for rows in batches:
-        row, start, value = _windows(rows)
-        yield pd.DataFrame({
-            "value": value.view(np.int64), "doc_id": rows["doc_id"].astype("Int64").array[row], "digest": rows["digest"].to_numpy()[row], "first": start,
-        })
+    for batch in batches:
+        for low in range(0, len(batch), CONTEXTS_AT_ONCE):
+            rows = batch.iloc[low : low + CONTEXTS_AT_ONCE].reset_index(drop=True)
+            row, start, value = _windows(rows)
+            yield pd.DataFrame({
+                "value": value.view(np.int64), "doc_id": rows["doc_id"].astype("Int64").array[row], "digest": rows["digest"].to_numpy()[row], "first": start,
+            })
 
 
 CUT_SCHEMA = "doc_id bigint, digest bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"

@@ -72,3 +72,22 @@ def test_places_of_a_very_long_text_are_kept():
     got = suffix_dedup._rank(rows)
     found = sorted(p for proven in got["proven"].dropna() for p in np.frombuffer(proven, np.uint32).tolist())
     assert found == [0, place]
+
+
+def test_contexts_are_resolved_a_few_cores_at_a_time(monkeypatch):
+    """No call sees the windows of a whole bucket, no core is parted, and the runs are those of all contexts at once."""
+    rng = np.random.default_rng(5)
+    shared = [rng.integers(97, 123, 332, np.uint8).tobytes() for _ in range(300)]
+    rows = pd.DataFrame({
+        "core": np.repeat(np.arange(300), 20), "doc_id": pd.array(range(6000), "Int64"), "digest": np.arange(6000), "low": 0, "lead": 132,
+        "context": [shared[k][:250] + rng.integers(97, 123, 82, np.uint8).tobytes() for k in range(300) for _ in range(20)],
+    })
+    seen, windows = [], suffix_dedup._windows
+    monkeypatch.setattr(suffix_dedup, "_windows", lambda part: seen.append(set(part["core"])) or windows(part))
+    got = suffix_dedup._resolve(rows.sample(frac=1, random_state=1))
+    row, start, value = windows(rows)
+    hit = suffix_dedup._repeated(value)
+    expected = suffix_dedup._runs(rows, row[hit], start[hit])
+    key = lambda df: sorted(map(tuple, df.astype("int64").to_numpy().tolist()))
+    assert len(expected) == 6000 and key(got) == key(expected)
+    assert len(seen) > 1 and sum(map(len, seen)) == 300

@@ -8,10 +8,11 @@ import hashlib
 import io
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from replaykit.sources import blocks
+from replaykit.sources import blocks, landing
 from replaykit.sources import deliveries as d
 from replaykit.sources.landing import checksums, ingestion_outcomes, landing_conflicts
 from replaykit.sources.registry import columns_of, raw_schema, with_registry
@@ -206,6 +207,18 @@ def test_checksums(spark, tmp_path):
     assert got == {n: (hashlib.sha256(b).hexdigest(), len(b)) for n, b in bodies.items()}
 
 
+def test_a_file_of_one_block_is_digested_where_it_is_read():
+    """One row leaves the scan for a file of one block, and pieces of many lines for the blocks of others."""
+    line, n = b"x" * 99, 30_000
+    columns = {"path": ["whole"] * n + ["parted"] * n, "file_key": [1] * n + [2] * n, "file_size_bytes": [100 * n] * n + [200 * n] * n, "block_start": [0] * 2 * n, "block_length": [100 * n] * 2 * n}
+    batch = pa.table({**columns, "value": pa.array([line] * 2 * n, pa.binary())}).to_batches(max_chunksize=7_000)
+    rows = pa.Table.from_batches(landing._pieces(iter(batch))).to_pylist()
+    whole = [r for r in rows if r["path"] == "whole"]
+    assert [(r["value"], r["checksum"]) for r in whole] == [(None, hashlib.sha256((line + b"\n") * n).hexdigest())]
+    parts = [r["value"] for r in rows if r["path"] == "parted"]
+    assert 2 <= len(parts) <= 4 and b"\n".join(parts) == b"\n".join([line] * n)
+
+
 def test_a_line_of_white_space_is_a_record(spark, tmp_path):
     folder = tmp_path / "sellers"
     folder.mkdir()

@@ -88,6 +88,26 @@ def test_append_is_idempotent_and_prunes(spark, database):
     assert "PartitionFilters: [isnotnull(delivery_date" in plan
 
 
+def test_an_id_that_is_known_stays_out_whatever_its_day(spark, database):
+    tables.append_ledger(events_of(spark, ("a", 1)), database, "replay_events")
+    for _ in range(2):
+        tables.append_ledger(events_of(spark, ("a", 2), ("b", 1), ("c", 1), ("c", 2)), database, "replay_events")
+    assert rows(spark.table(f"{database}.replay_events"), "event_id")[:2] == [("a",), ("b",)]
+    assert spark.table(f"{database}.replay_events").count() == 3
+
+
+def test_a_retried_append_moves_ids_only(spark, database, monkeypatch):
+    sent = events_of(spark, ("a", 1), ("b", 2))
+    tables.append_ledger(sent, database, "replay_events")
+
+    def moved(*_):
+        raise AssertionError("rows of a retried append are brought together")
+
+    monkeypatch.setattr(type(sent), "dropDuplicates", moved)
+    tables.append_ledger(sent, database, "replay_events")
+    assert spark.table(f"{database}.replay_events").count() == 2
+
+
 def masters(spark):
     return {s: raw(spark, s, ("1", None), ("2", None)).drop("delivery_date") for s in MASTER_SOURCES}
 

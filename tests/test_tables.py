@@ -15,6 +15,7 @@ from replaykit.plans.replay import range_status, replay_range
 from replaykit.session import written_table
 from replaykit.sources import tables
 from replaykit.sources.registry import DAILY_SOURCES, MASTER_SOURCES, columns_of
+from workload import table_queries
 
 from .conftest import rows
 
@@ -108,6 +109,18 @@ def test_a_retried_append_moves_ids_only(spark, database, monkeypatch):
     assert spark.table(f"{database}.replay_events").count() == 2
 
 
+def test_children_are_sliced_once_for_all_loads(spark, monkeypatch):
+    plans, replace = [], tables.replace_partitions
+
+    def seen(loaded, database, source, days):
+        plans.extend(x._jdf.queryExecution().optimizedPlan().toString() for x in (loaded, days))
+        return replace(loaded, database, source, days)
+
+    monkeypatch.setattr(tables, "replace_partitions", seen)
+    table_queries.replaced_days(spark, "/root/testdata/sf0.001")
+    assert len(plans) == 24 and not any("Join" in plan for plan in plans)
+
+
 def masters(spark):
     return {s: raw(spark, s, ("1", None), ("2", None)).drop("delivery_date") for s in MASTER_SOURCES}
 

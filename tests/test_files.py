@@ -146,6 +146,20 @@ def test_records_over_block_edges(spark, tmp_path, size):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_plain_lines_cost_no_python_object(monkeypatch):
+    """Only lines with quotes, returns or the header are taken out of a batch."""
+    lines = [b"a,b", *[b"%d,x\r" % n for n in range(500)], b"", b" \t", b'7,"p"', b"8,\r9,q"]
+    count = len(lines)
+    columns = [pa.array([1] * count, pa.int64()), pa.array([0] * count, pa.int64()), pa.array(lines, pa.binary()), pa.array([True] * count)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["file_key", "block_start", "line", "valid"])
+    taken, line = [], blocks.Lines.line
+    monkeypatch.setattr(blocks.Lines, "line", lambda self, i: taken.append(i) or line(self, i), raising=False)
+    monkeypatch.setattr(blocks.Lines, "lines", property(lambda self: pytest.fail("all lines taken")), raising=False)
+    described = blocks._described(iter([batch]))
+    assert [r["records_0"] for b in described for r in b.to_pylist()] == [1 + 500 + 1 + 1 + 2]
+    assert taken == [0, 503, 504]
+
+
 def test_facts_come_from_one_scan_without_a_sort_or_a_path_list(spark, root):
     plan = blocks.block_facts(spark, str(root))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan text") == 1 and "Sort" not in plan and "Exchange" not in plan and "plain.csv" not in plan

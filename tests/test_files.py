@@ -304,3 +304,17 @@ def test_registry(spark):
     with pytest.raises(Exception, match="unsupported source_object: nothing"):
         with_registry(unknown).select("d").collect()
     assert with_registry(unknown, strict=False).first().kind is None
+
+
+def test_daily_rows_move_as_numbers(spark):
+    """Texts of the daily rows are made behind the last move, and the writer has no texts to sort."""
+    from workload import daily
+
+    for source, rows_of in daily.daily_rows(spark, "/root/testdata/sf0.001", daily.by_day).items():
+        plan = rows_of._jdf.queryExecution().optimizedPlan().toString()
+        above, moved = plan.split("RebalancePartitions")
+        assert "as string" in above and "as string" not in moved and "date_format" not in moved, source
+        assert above.count("Sort ") == 1
+        plain = daily.daily_rows(spark, "/root/testdata/sf0.001")[source]
+        assert set(dict(rows_of.dtypes[:-1]).values()) == {"string"} and rows_of.columns == plain.columns
+        assert rows(rows_of) == rows(plain)

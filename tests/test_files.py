@@ -318,3 +318,29 @@ def test_daily_rows_move_as_numbers(spark):
         plain = daily.daily_rows(spark, "/root/testdata/sf0.001")[source]
         assert set(dict(rows_of.dtypes[:-1]).values()) == {"string"} and rows_of.columns == plain.columns
         assert rows(rows_of) == rows(plain)
+
+
+def test_plain_lines_leave_in_runs(monkeypatch):
+    """Only records with quotes are built one by one; the others stay in their batch, whatever their line ends and encoding."""
+    lines = [b"name,x", *[b"n%d,1" % i for i in range(500)], b"ends\r", b"", b"\r", b"latin \xe9,2", b'"two', b'lines",3', b"last,4"]
+    names = ["path", "block_start", "line", "owner"]
+    columns = [["f"] * len(lines), [0] * len(lines), lines, [None] * len(lines)]
+    whole = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.string(), pa.int64(), pa.binary(), pa.int64()])], names=names)
+    single, build = [], blocks._records
+    monkeypatch.setattr(blocks, "_records", lambda rows: single.extend(rows) or build(rows))
+    for cut in (1, 250, 506, len(lines)):
+        single.clear()
+        found = [r for b in blocks._assembled(iter([whole[:cut], whole[cut:]])) for r in b.column("record").to_pylist()]
+        expected = [f"n{i},1" for i in range(500)] + ["ends", "latin \ufffd,2", '"two\nlines",3', "last,4"]
+        assert sorted(found) == sorted(expected)
+        assert len(single) == 1
+
+
+def test_all_sources_are_judged_in_one_scan(spark, monkeypatch):
+    from workload import file_queries
+
+    judged, facts = [], d.file_facts
+    monkeypatch.setattr(d, "file_facts", lambda s, root: judged.append(root) or facts(s, root))
+    scanned = file_queries.raw_csv_scan(spark, "/root/testdata/sf0.001")
+    assert scanned.select("source_object").distinct().count() == 8
+    assert len(judged) == 2
